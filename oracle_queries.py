@@ -137,7 +137,7 @@ ORACLES = {
         "  AND product_id NOT IN (SELECT product_id FROM products)",
     ),
     "monthly_region_category": over_silver(
-        "SELECT * FROM monthly ORDER BY yyyymm, region, category", MONTHLY
+        "SELECT * FROM monthly ORDER BY yyyymm, region NULLS FIRST, category NULLS FIRST", MONTHLY
     ),
     "customer_spend": over_silver("SELECT * FROM spend", SPEND),
     "top_customers_10": top_customers(10),
@@ -177,7 +177,7 @@ ORACLES = {
         " WHERE last_day(strptime(yyyymm || '01', '%Y%m%d')) <= (SELECT max(order_date) FROM silver)"
     ),
     "revenue_trend": over_silver("SELECT * FROM trend ORDER BY yyyymm", TREND),
-    "top_customers_report": top_customers(10) + " ORDER BY region, rank, customer_id",
+    "top_customers_report": top_customers(10) + " ORDER BY region NULLS FIRST, rank, customer_id NULLS FIRST",
     "layer_counts": over_silver(
         "SELECT 'orders_bronze' AS layer, count(*) AS row_count FROM bronze"
         " UNION ALL SELECT 'orders_silver', count(*) FROM silver"

@@ -2,7 +2,7 @@
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,32 +16,26 @@ def broadcast_limit(spark: SparkSession) -> int:
     return int(number) * UNITS[unit]
 
 
-def _row_bytes(schema: T.StructType) -> Column:
-    """Upper bound of what the rows take in a broadcast hash table: a row header
+def _row_bytes(schema: T.StructType) -> str:
+    """Upper bound of what a row takes in a broadcast hash table: a row header
     and a table slot, eight bytes a column, and the padded text."""
     fixed = 24
-    texts = []
+    texts = ""
     for field in schema:
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):
             fixed += 16
-            texts.append(F.coalesce(F.sum(F.octet_length(field.name)), F.lit(0)))
+            texts += f" + coalesce(octet_length(`{field.name}`), 0)"
         elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
             raise ValueError(f"column {field.name} has no measurable size; project it away")
         else:
             fixed += 24 if isinstance(field.dataType, T.DecimalType) else 8
-    return sum(texts, F.count(F.lit(1)) * fixed)
+    return f"CAST({fixed} AS BIGINT){texts}"
 
 
-def lookup_bytes(lookups: list[DataFrame]) -> list[int]:
-    """Size of each frame as a broadcast, from one small aggregation job."""
-    measured = None
-    for position, lookup in enumerate(lookups):
-        size = lookup.agg(_row_bytes(lookup.schema).alias("bytes")).select(
-            F.lit(position).alias("position"), "bytes"
-        )
-        measured = size if measured is None else measured.unionAll(size)
-    rows = {row["position"]: row["bytes"] for row in measured.collect()}
-    return [rows[position] for position in range(len(lookups))]
+def lookup_bytes(lookup: DataFrame) -> int:
+    """Size of the frame as a broadcast, from one small aggregation job."""
+    total = lookup.selectExpr(f"sum({_row_bytes(lookup.schema)}) AS bytes").first()["bytes"]
+    return total or 0
 
 
 def lookup_join(facts: DataFrame, lookups: dict[str, DataFrame], how: str = "left") -> DataFrame:
@@ -53,8 +47,7 @@ def lookup_join(facts: DataFrame, lookups: dict[str, DataFrame], how: str = "lef
     shuffled joins come first, while the fact rows are narrow.
     """
     limit = broadcast_limit(facts.sparkSession)
-    sizes = dict(zip(lookups, lookup_bytes(list(lookups.values())))) if limit > 0 else {}
-    small = [key for key in lookups if sizes.get(key, limit + 1) <= limit]
+    small = [key for key, lookup in lookups.items() if 0 < limit and lookup_bytes(lookup) <= limit]
     joined = facts
     for key in [key for key in lookups if key not in small]:
         joined = joined.join(lookups[key], key, how)

@@ -36,33 +36,32 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def customers(spark: SparkSession, folder: str) -> DataFrame:
-    key = F.col("c_custkey")
     # nation and region are plain scans, so Spark itself checks their file size
     # before it broadcasts them.
-    places = table(spark, folder, "nation").join(
-        table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey")
-    )
+    nation = table(spark, folder, "nation")
+    region = table(spark, folder, "region")
     return (
         table(spark, folder, "customer")
-        .join(places, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(
-            key.alias("customer_id"),
-            F.col("c_name").alias("customer_name"),
-            (18 + key % 58).cast("int").alias("age"),
-            F.when(key % 3 == 0, "Male").when(key % 3 == 1, "Female").otherwise("Other").alias("gender"),
-            F.col("n_name").alias("country"),
-            F.col("r_name").alias("region"),
+        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+        .selectExpr(
+            "c_custkey AS customer_id",
+            "c_name AS customer_name",
+            "CAST(18 + c_custkey % 58 AS INT) AS age",
+            "CASE c_custkey % 3 WHEN 0 THEN 'Male' WHEN 1 THEN 'Female' ELSE 'Other' END AS gender",
+            "n_name AS country",
+            "r_name AS region",
         )
     )
 
 
 def products(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "part").select(
-        F.col("p_partkey").alias("product_id"),
-        F.col("p_type").alias("category"),
-        F.col("p_brand").alias("subcategory"),
-        F.col("p_name").alias("product_name"),
-        F.col("p_retailprice").alias("base_price"),
+    return table(spark, folder, "part").selectExpr(
+        "p_partkey AS product_id",
+        "p_type AS category",
+        "p_brand AS subcategory",
+        "p_name AS product_name",
+        "p_retailprice AS base_price",
     )
 
 
@@ -72,18 +71,19 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
     Both sides are plain scans: Spark broadcasts the order headers only while
     their files are below its threshold and otherwise merges the two on the key.
     """
-    key = F.col("o_orderkey")
+    lines = table(spark, folder, "lineitem")
+    headers = table(spark, folder, "orders")
     return (
-        table(spark, folder, "lineitem")
-        .join(table(spark, folder, "orders"), F.col("l_orderkey") == key)
-        .select(
-            order_code(key).alias("order_id"),
-            F.col("o_orderdate").alias("order_ts"),
-            F.col("o_custkey").alias("customer_id"),
-            F.col("l_partkey").alias("product_id"),
-            F.col("l_quantity").cast("int").alias("quantity"),
-            F.when(key % 3 == 0, "Online").when(key % 3 == 1, "Store").otherwise("Marketplace").alias("channel"),
-            F.try_divide("l_extendedprice", "l_quantity").alias("sold_price"),
-            F.coalesce((F.col("l_returnflag") == "R").cast("int"), F.lit(0)).alias("is_return"),
+        lines.join(headers, F.col("l_orderkey") == F.col("o_orderkey"))
+        .withColumn("order_id", order_code(F.col("o_orderkey")))
+        .selectExpr(
+            "order_id",
+            "o_orderdate AS order_ts",
+            "o_custkey AS customer_id",
+            "l_partkey AS product_id",
+            "CAST(l_quantity AS INT) AS quantity",
+            "CASE o_orderkey % 3 WHEN 0 THEN 'Online' WHEN 1 THEN 'Store' ELSE 'Marketplace' END AS channel",
+            "try_divide(l_extendedprice, l_quantity) AS sold_price",
+            "CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS is_return",
         )
     )
