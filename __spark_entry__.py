@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from oracle_queries import ORACLES  # noqa: E402
+from tillroll.functions.calendar import in_month  # noqa: E402
 from tillroll.functions.codes import order_code, product_label, region_of_country  # noqa: E402
 from tillroll.functions.hashing import simulated_return  # noqa: E402
 from tillroll.operators import gold  # noqa: E402
@@ -20,9 +21,9 @@ from tillroll.operators.quality import order_rejects  # noqa: E402
 from tillroll.operators.silver import enrich, with_calendar  # noqa: E402
 from tillroll.operators.skew import salted_revenue  # noqa: E402
 from tillroll.plans import reports  # noqa: E402
-from tillroll.plans.layers import build_layers, write_layers  # noqa: E402
+from tillroll.plans.layers import build_layers  # noqa: E402
 from tillroll.sinks.scratch import materialise, scratch_path  # noqa: E402
-from tillroll.sinks.tables import append_bronze, count_rows, write_silver  # noqa: E402
+from tillroll.sinks.tables import append_bronze, count_rows, write_gold, write_silver  # noqa: E402
 from tillroll.sources import generate, sales_tables as sales  # noqa: E402
 from tillroll.sources.star import read_orders, read_silver  # noqa: E402
 
@@ -151,13 +152,11 @@ def layer_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 def gold_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """The three gold tables written, read back and laid under each other."""
-    built = layers(spark, folder)
     base = scratch_path(spark, "gold")
-    write_layers(built, base, dry_run=False)
-    tables = {
-        name: spark.read.schema(frame.schema).parquet(f"{base}/{name}")
-        for name, frame in built.gold().items()
-    }
+    tables = {}
+    for name, frame in layers(spark, folder).gold().items():
+        write_gold(frame, f"{base}/{name}")
+        tables[name] = spark.read.schema(frame.schema).parquet(f"{base}/{name}")
     columns = {
         "gold_monthly_region_category": ["yyyymm", "region", "category", "revenue AS amount", "units"],
         "gold_top_customers": [
@@ -193,7 +192,8 @@ def silver_month_rebuilt(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "silver_orders")
     write_silver(silver, path)
     month = gold.latest_month(read_silver(spark, path, silver.schema)).first()["yyyymm"]
-    write_silver(silver.filter(F.col("yyyymm") == month), path, only_these_months=True)
+    rebuilt = silver.filter(in_month(F.col("order_ts"), month))
+    write_silver(rebuilt, path, only_these_months=True)
     return (
         read_silver(spark, path, silver.schema)
         .groupBy("yyyymm")

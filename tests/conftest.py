@@ -48,6 +48,7 @@ def spark(tmp_path_factory):
         .config("spark.sql.warehouse.dir", str(folder / "warehouse"))
         .config("spark.checkpoint.dir", str(folder / "shared"))
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.maxMetadataStringLength", "1000")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

@@ -5,16 +5,15 @@ from conftest import DATA, rows_of
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
+from tillroll.functions.calendar import in_month
+from tillroll.operators.gold import monthly_region_category
 from tillroll.operators.lookup import broadcast_limit, lookup_bytes, lookup_join
-from tillroll.operators.silver import redistribute
+from tillroll.operators.silver import enrich, redistribute
 
 FOLDER = f"{DATA}/sf0.001"
 
 
-def plan_of(frame, run=False):
-    if run:
-        frame.write.format("noop").mode("overwrite").save()
-        frame = frame.select("*")
+def plan_of(frame):
     return frame._jdf.queryExecution().executedPlan().toString()
 
 
@@ -106,6 +105,40 @@ def test_a_hot_key_is_split_in_a_shuffled_lookup(spark, settings):
     assert joined.filter(F.col("region").isNotNull()).count() == 600_000
 
 
+def test_hot_and_null_keys_are_split_in_both_star_joins(spark, settings):
+    settings(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="100KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="100KB",
+    )
+    orders = spark.range(0, 900_000, 1, 8).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 1 WHEN id % 3 = 1 THEN NULL ELSE id % 5000 END AS customer_id",
+        "CASE WHEN id % 3 = 2 THEN 7 ELSE id % 3000 END AS product_id",
+        "CAST(id % 5 + 1 AS INT) AS quantity",
+        "timestamp_seconds(1600000000 + id * 100) AS order_ts",
+    )
+    customers = spark.range(0, 5000, 1, 8).selectExpr(
+        "id AS customer_id", "concat('r', id % 4) AS region", "'x' AS country"
+    )
+    products = spark.range(0, 3000, 1, 8).selectExpr(
+        "id AS product_id", "concat('c', id % 4) AS category", "'s' AS subcategory", "2.5D AS base_price"
+    )
+    monthly = monthly_region_category(enrich(orders, customers, products))
+    plan = final_plan(monthly)
+    assert plan.count("SortMergeJoin(skew=true)") == 2
+    assert rows_of(monthly.agg(F.sum("units")))[0][0] == 2_700_000
+
+
+def test_rebuilding_a_month_filters_the_scan(spark):
+    bronze = driver.sales.orders(spark, FOLDER).filter(in_month(F.col("order_ts"), "199712"))
+    plan = plan_of(bronze)
+    assert "GreaterThanOrEqual(o_orderdate,1997-12-01T00:00)" in plan
+    assert "LessThan(o_orderdate,1998-01-01T00:00)" in plan
+    months = driver.with_calendar(bronze).select("yyyymm").distinct()
+    assert rows_of(months) == [("199712",)]
+
+
 def test_measured_size_is_never_below_the_text(spark):
     frame = spark.range(1000).selectExpr("id", "repeat('x', 100) AS text", "CAST(NULL AS STRING) AS nothing")
     assert 1000 * 100 < lookup_bytes(frame) < 1000 * 250

@@ -1,5 +1,7 @@
 """Calendar columns of an order timestamp (TIMESTAMP or TIMESTAMP_NTZ)."""
 
+from datetime import date
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,6 +24,14 @@ def month_key(ts: Column) -> Column:
     ).otherwise(F.date_format(ts, "yyyyMM"))
 
 
+def in_month(ts: Column, yyyymm: str) -> Column:
+    """Whether ``ts`` lies in the month, as a range that Parquet readers can push
+    down, which a comparison of the derived ``yyyymm`` column is not."""
+    first = date(int(yyyymm[:4]), int(yyyymm[4:]), 1)
+    following = date(first.year + first.month // 12, first.month % 12 + 1, 1)
+    return (ts >= F.lit(f"{first} 00:00:00")) & (ts < F.lit(f"{following} 00:00:00"))
+
+
 def month_index(yyyymm: Column) -> Column:
     """Months counted from year 0, so that neighbouring months differ by one."""
     year = F.substring(yyyymm, 1, 4).cast("int")
