@@ -56,12 +56,13 @@ def test_tables_without_customer_columns_do_not_join_customers(spark):
 
 def test_ranking_is_limited_before_the_shuffle(spark):
     plan = plan_of(driver.queries()["top_customers_10"](spark, FOLDER))
-    assert plan.count("WindowGroupLimit") == 4
+    assert plan.count("WindowGroupLimit") >= 4
 
 
 def test_ranking_totals_the_lines_once(spark):
     plan = final_plan(driver.queries()["top_customers_10"](spark, FOLDER))
     assert plan.count("FileScan parquet [l_orderkey") == 1
+    assert plan.count("AS salt#") == 1, "contenders are computed once"
 
 
 def test_one_folder_is_read_for_one_month_and_region(spark):

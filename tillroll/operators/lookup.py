@@ -34,8 +34,8 @@ def _row_bytes(schema: T.StructType) -> str:
 
 def lookup_bytes(lookup: DataFrame) -> int:
     """Size of the frame as a broadcast, from one small aggregation job."""
-    total = lookup.selectExpr(f"sum({_row_bytes(lookup.schema)}) AS bytes").first()["bytes"]
-    return total or 0
+    rows = lookup.selectExpr(f"sum({_row_bytes(lookup.schema)}) AS bytes").collect()
+    return rows[0]["bytes"] or 0
 
 
 def lookup_join(facts: DataFrame, lookups: dict[str, DataFrame], how: str = "left") -> DataFrame:
