@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 import __spark_entry__ as driver
 from tillroll.functions.calendar import in_month
 from tillroll.operators.gold import monthly_region_category
-from tillroll.operators.lookup import broadcast_limit, lookup_bytes, lookup_join
+from tillroll.operators.lookup import bytes_setting, lookup_bytes, lookup_join, lookup_strategy
 from tillroll.operators.silver import enrich, redistribute
 
 FOLDER = f"{DATA}/sf0.001"
 
+# The join of a shuffled lookup, by the partition size that the session advises.
+SHUFFLED = [("ShuffledHashJoin", "100KB"), ("SortMergeJoin", "10KB")]
+
 
 def plan_of(frame):
     return frame._jdf.queryExecution().executedPlan().toString()
@@ -89,12 +92,13 @@ def test_no_python_in_any_plan(spark, name):
     assert "Python" not in plan and "Pandas" not in plan and "CartesianProduct" not in plan
 
 
-def test_a_hot_key_is_split_in_a_shuffled_lookup(spark, settings):
+@pytest.mark.parametrize("join, partition", SHUFFLED)
+def test_a_hot_key_is_split_in_a_shuffled_lookup(spark, settings, join, partition):
     settings(
         spark__sql__autoBroadcastJoinThreshold="-1",
         spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="100KB",
         spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
-        spark__sql__adaptive__advisoryPartitionSizeInBytes="100KB",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes=partition,
     )
     facts = spark.range(0, 600_000, 1, 8).selectExpr(
         "CASE WHEN id % 3 = 0 THEN 1 ELSE id % 5000 END AS customer_id", "id AS quantity"
@@ -102,16 +106,17 @@ def test_a_hot_key_is_split_in_a_shuffled_lookup(spark, settings):
     customers = spark.range(0, 5000, 1, 8).selectExpr("id AS customer_id", "concat('r', id % 4) AS region")
     joined = lookup_join(facts, {"customer_id": customers}, "left")
     plan = final_plan(joined.groupBy("region").agg(F.sum("quantity").alias("units")))
-    assert "SortMergeJoin(skew=true)" in plan
+    assert f"{join}(skew=true)" in plan
     assert joined.filter(F.col("region").isNotNull()).count() == 600_000
 
 
-def test_hot_and_null_keys_are_split_in_both_star_joins(spark, settings):
+@pytest.mark.parametrize("join, partition", SHUFFLED)
+def test_hot_and_null_keys_are_split_in_both_star_joins(spark, settings, join, partition):
     settings(
         spark__sql__autoBroadcastJoinThreshold="-1",
         spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="100KB",
         spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
-        spark__sql__adaptive__advisoryPartitionSizeInBytes="100KB",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes=partition,
     )
     orders = spark.range(0, 900_000, 1, 8).selectExpr(
         "CASE WHEN id % 3 = 0 THEN 1 WHEN id % 3 = 1 THEN NULL ELSE id % 5000 END AS customer_id",
@@ -127,7 +132,7 @@ def test_hot_and_null_keys_are_split_in_both_star_joins(spark, settings):
     )
     monthly = monthly_region_category(enrich(orders, customers, products))
     plan = final_plan(monthly)
-    assert plan.count("SortMergeJoin(skew=true)") == 2
+    assert plan.count(f"{join}(skew=true)") == 2
     assert rows_of(monthly.agg(F.sum("units")))[0][0] == 2_700_000
 
 
@@ -146,10 +151,21 @@ def test_measured_size_is_never_below_the_text(spark):
     assert lookup_bytes(frame.filter("id < 0")) == 0
 
 
-def test_broadcast_limit_units(spark, settings):
+def test_strategy_follows_the_measured_size(spark, settings):
+    lookup = spark.range(1000).selectExpr("id AS k", "'x' AS name")
+    size = lookup_bytes(lookup)
+    settings(spark__sql__autoBroadcastJoinThreshold=str(size), spark__sql__shuffle__partitions="8")
+    assert lookup_strategy(lookup) == "broadcast"
+    settings(spark__sql__autoBroadcastJoinThreshold=str(size - 1))
+    assert lookup_strategy(lookup) == "shuffle_hash"
+    settings(spark__sql__adaptive__advisoryPartitionSizeInBytes=str(size // 8 - 1))
+    assert lookup_strategy(lookup) is None
+
+
+def test_size_units(spark, settings):
     for text, size in {"10MB": 10 << 20, "-1": -1, "5000": 5000, "1g": 1 << 30, "64k": 64 << 10}.items():
         settings(spark__sql__autoBroadcastJoinThreshold=text)
-        assert broadcast_limit(spark) == size
+        assert bytes_setting(spark, "spark.sql.autoBroadcastJoinThreshold") == size
 
 
 def test_lookup_without_a_measurable_size(spark):

@@ -1,17 +1,16 @@
-"""Star joins whose broadcasts are decided by a measured size."""
+"""Star joins whose strategy is decided by a measured size."""
 
 import re
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 UNITS = {"": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
 
 
-def broadcast_limit(spark: SparkSession) -> int:
-    """The session's ``spark.sql.autoBroadcastJoinThreshold`` in bytes."""
-    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower()
+def bytes_setting(spark: SparkSession, name: str) -> int:
+    """A size setting of the session in bytes."""
+    text = spark.conf.get(name).strip().lower()
     number, unit = re.fullmatch(r"(-?\d+)\s*([kmgt]?)b?", text).groups()
     return int(number) * UNITS[unit]
 
@@ -38,19 +37,34 @@ def lookup_bytes(lookup: DataFrame) -> int:
     return rows[0]["bytes"] or 0
 
 
+def lookup_strategy(lookup: DataFrame) -> str | None:
+    """How to join ``lookup``, from its measured size and the session's limits.
+
+    ``broadcast`` up to the broadcast threshold; ``shuffle_hash`` while the hash
+    tables of its shuffle partitions stay below the advised partition size,
+    which spares sorting the facts; beyond that no hint, so that Spark merges
+    sorted partitions, which can spill.
+    """
+    spark = lookup.sparkSession
+    size = lookup_bytes(lookup)
+    if size <= bytes_setting(spark, "spark.sql.autoBroadcastJoinThreshold"):
+        return "broadcast"
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    advised = bytes_setting(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    return "shuffle_hash" if size <= advised * partitions else None
+
+
 def lookup_join(facts: DataFrame, lookups: dict[str, DataFrame], how: str = "left") -> DataFrame:
     """Join each lookup to ``facts`` on its key column; one key column comes out.
 
-    A lookup holds one row per key. It is broadcast if its measured size is
-    within the session's broadcast limit. A larger one is joined by a shuffle on
-    its key, where adaptive execution splits the partition of a hot key. The
-    shuffled joins come first, while the fact rows are narrow.
+    A lookup holds one row per key. A small one is broadcast, a larger one is
+    joined by a shuffle on its key, where adaptive execution splits the partition
+    of a hot or NULL key. The shuffled joins come first, while the fact rows are
+    narrow.
     """
-    limit = broadcast_limit(facts.sparkSession)
-    small = [key for key, lookup in lookups.items() if 0 < limit and lookup_bytes(lookup) <= limit]
+    strategies = {key: lookup_strategy(lookup) for key, lookup in lookups.items()}
     joined = facts
-    for key in [key for key in lookups if key not in small]:
-        joined = joined.join(lookups[key], key, how)
-    for key in small:
-        joined = joined.join(F.broadcast(lookups[key]), key, how)
+    for key in sorted(lookups, key=lambda key: strategies[key] == "broadcast"):
+        hint = strategies[key]
+        joined = joined.join(lookups[key].hint(hint) if hint else lookups[key], key, how)
     return joined
