@@ -126,8 +126,7 @@ def top_categories(text: str) -> Query:
 
 
 def revenue_trend(spark: SparkSession, folder: str) -> DataFrame:
-    trend = reports.run(reports.REVENUE_TREND, gold_moving_rev=moving_average(False)(spark, folder))
-    return trend
+    return reports.run(reports.REVENUE_TREND, gold_moving_rev=moving_average(False)(spark, folder))
 
 
 def top_customers_report(spark: SparkSession, folder: str) -> DataFrame:

@@ -7,7 +7,13 @@ from pyspark.sql import functions as F
 import __spark_entry__ as driver
 from tillroll.functions.calendar import in_month
 from tillroll.operators.gold import monthly_region_category
-from tillroll.operators.lookup import bytes_setting, lookup_bytes, lookup_join, lookup_strategy
+from tillroll.operators.lookup import (
+    EXPANSION,
+    bytes_setting,
+    lookup_bytes,
+    lookup_join,
+    lookup_strategy,
+)
 from tillroll.operators.silver import enrich, redistribute
 
 FOLDER = f"{DATA}/sf0.001"
@@ -154,9 +160,10 @@ def test_measured_size_is_never_below_the_text(spark):
 def test_strategy_follows_the_measured_size(spark, settings):
     lookup = spark.range(1000).selectExpr("id AS k", "'x' AS name")
     size = lookup_bytes(lookup)
-    settings(spark__sql__autoBroadcastJoinThreshold=str(size), spark__sql__shuffle__partitions="8")
+    threshold = -(-size // EXPANSION)
+    settings(spark__sql__autoBroadcastJoinThreshold=str(threshold), spark__sql__shuffle__partitions="8")
     assert lookup_strategy(lookup) == "broadcast"
-    settings(spark__sql__autoBroadcastJoinThreshold=str(size - 1))
+    settings(spark__sql__autoBroadcastJoinThreshold=str(threshold - 1))
     assert lookup_strategy(lookup) == "shuffle_hash"
     settings(spark__sql__adaptive__advisoryPartitionSizeInBytes=str(size // 8 - 1))
     assert lookup_strategy(lookup) is None

@@ -5,6 +5,10 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+# Spark compares its broadcast threshold with the compressed size of files. The
+# size measured here is that of the hash table in memory, several times as much.
+EXPANSION = 8
+
 UNITS = {"": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
 
 
@@ -40,14 +44,16 @@ def lookup_bytes(lookup: DataFrame) -> int:
 def lookup_strategy(lookup: DataFrame) -> str | None:
     """How to join ``lookup``, from its measured size and the session's limits.
 
-    ``broadcast`` up to the broadcast threshold; ``shuffle_hash`` while the hash
+    ``broadcast`` up to the broadcast threshold, times what data grows by when it
+    is read into memory (never if the threshold is -1); ``shuffle_hash`` while the hash
     tables of its shuffle partitions stay below the advised partition size,
     which spares sorting the facts; beyond that no hint, so that Spark merges
     sorted partitions, which can spill.
     """
     spark = lookup.sparkSession
     size = lookup_bytes(lookup)
-    if size <= bytes_setting(spark, "spark.sql.autoBroadcastJoinThreshold"):
+    threshold = bytes_setting(spark, "spark.sql.autoBroadcastJoinThreshold")
+    if size <= threshold * EXPANSION:
         return "broadcast"
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     advised = bytes_setting(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes")
