@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,11 @@ from tillroll.sinks.tables import append_bronze, count_rows, write_gold, write_s
 from tillroll.sources import generate, sales_tables as sales  # noqa: E402
 from tillroll.sources.star import read_orders, read_silver  # noqa: E402
 
+if find_spec("tillroll.llm"):
+    from tillroll.llm import queries as llm
+else:  # the library is whole without this subpackage
+    llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 SEED = 42
@@ -309,8 +315,9 @@ def queries() -> dict[str, Query]:
         "gen_customers": gen_customers,
         "gen_products": gen_products,
         "gen_orders": gen_orders,
+        **(llm.queries() if llm else {}),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    return {**ORACLES, **(llm.oracles() if llm else {})}
