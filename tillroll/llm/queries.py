@@ -2,20 +2,36 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import decontamination
+from tillroll.llm import decontamination, pseudonyms, quality
+
+#: The key of the registered queries; a deployment passes its own secret.
+PSEUDONYM_KEY = b"tillroll demonstration key"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.verdicts(table(spark, folder, "documents"))
+
+
+def op9_pii_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return pseudonyms.pseudonymise(documents, PSEUDONYM_KEY)
+
+
 def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return decontamination.digest(found)
 
 
 def queries():
-    return {"op10_benchmark_decontamination": op10_benchmark_decontamination}
+    return {
+        "op6_quality_rules": op6_quality_rules,
+        "op9_pii_pseudonyms": op9_pii_pseudonyms,
+        "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    }
 
 
 def oracles() -> dict[str, str]:
