@@ -35,7 +35,7 @@ FALSE_ALARMS = 1e-6
 
 #: Statistics and the spread that each may have beyond a group's own scatter, so that a group in which nearly all
 #: documents agree does not reject the first that differs a little.
-SPREAD = {"word_length": 0.1, "symbols": 0.6, "copied_lines": 0.6, "repeats": 0.6, "digits": 0.6, "capitals": 0.4}
+SPREAD = {"word_length": 0.1, "symbols": 0.6, "copied_lines": 0.8, "repeats": 0.8, "digits": 0.6, "capitals": 0.4}
 STATISTICS = list(SPREAD)
 _PAIRS = [(a, b) for i, a in enumerate(STATISTICS) for b in STATISTICS[i:]]
 _GRID = 256

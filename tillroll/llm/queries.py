@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import decontamination, pseudonyms, quality
+from tillroll.llm import decontamination, language_id, pseudonyms, quality, token_counts
 
 #: The key of the registered queries; a deployment passes its own secret.
 PSEUDONYM_KEY = b"tillroll demonstration key"
@@ -12,6 +12,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, folder, "documents"))
+
+
+def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.held_out_predictions(table(spark, folder, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.verdicts(table(spark, folder, "documents"))
 
@@ -28,6 +36,8 @@ def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFram
 
 def queries():
     return {
+        "op1_token_counts": op1_token_counts,
+        "op2_language_id": op2_language_id,
         "op6_quality_rules": op6_quality_rules,
         "op9_pii_pseudonyms": op9_pii_pseudonyms,
         "op10_benchmark_decontamination": op10_benchmark_decontamination,
