@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import decontamination, language_id, pseudonyms, quality, token_counts
+from tillroll.llm import decontamination, language_id, lexicon, pseudonyms, quality, token_counts
 
 #: The key of the registered queries; a deployment passes its own secret.
 PSEUDONYM_KEY = b"tillroll demonstration key"
@@ -24,6 +24,10 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.verdicts(table(spark, folder, "documents"))
 
 
+def op8_bpe_encoding(spark: SparkSession, folder: str) -> DataFrame:
+    return lexicon.digest(lexicon.round_trip(table(spark, folder, "documents")))
+
+
 def op9_pii_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")
     return pseudonyms.pseudonymise(documents, PSEUDONYM_KEY)
@@ -39,6 +43,7 @@ def queries():
         "op1_token_counts": op1_token_counts,
         "op2_language_id": op2_language_id,
         "op6_quality_rules": op6_quality_rules,
+        "op8_bpe_encoding": op8_bpe_encoding,
         "op9_pii_pseudonyms": op9_pii_pseudonyms,
         "op10_benchmark_decontamination": op10_benchmark_decontamination,
     }

@@ -14,6 +14,7 @@ present one. States and transitions are compiled when first met, into dense tabl
 have grown to their limit are cleared and compiled anew, so memory is bounded and results do not change.
 """
 
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -153,27 +154,31 @@ def transducer(path: str | None = None) -> CountingTransducer:
     return CountingTransducer(byte_bpe.load(path))
 
 
-def segments(texts: list[str], special) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Texts cut at special tokens: the parts, the text of each part, and the special tokens of each text."""
-    parts, owners, specials = [], [], np.zeros(len(texts), np.int64)
+def segments(texts: list[str], special: dict[str, int]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Texts cut at special tokens: the parts, the text of each part, and the special token after it or -1."""
+    pattern = re.compile("(" + "|".join(re.escape(token) for token in sorted(special, key=len, reverse=True)) + ")")
+    parts, owners, after = [], [], []
     for owner, text in enumerate(texts):
-        own = [text]
-        for token in special:
-            if token in text:
-                own = [piece for part in own for piece in part.split(token)]
-        specials[owner] = len(own) - 1
-        parts.extend(own)
-        owners.extend([owner] * len(own))
-    return parts, np.array(owners, np.int64), specials
+        if special and any(token in text for token in special):
+            cut = pattern.split(text)
+            parts.extend(cut[::2])
+            after.extend([*(special[token] for token in cut[1::2]), -1])
+            owners.extend([owner] * (len(cut) // 2 + 1))
+        else:
+            parts.append(text)
+            after.append(-1)
+            owners.append(owner)
+    return parts, np.array(owners, np.int64), np.array(after, np.int64)
 
 
 def count_texts(texts: list[str], machine: CountingTransducer) -> np.ndarray:
     """Tokens of each text, special tokens inside it included."""
-    parts, owners, totals = segments(texts, machine.pairs.special)
+    parts, owners, after = segments(texts, machine.pairs.special)
     words = split(parts)
     counts = machine.count(words.data, words.starts, words.lengths)
     sums = np.append(0, np.cumsum(counts))[words.text_offsets]
-    np.add.at(totals, owners, np.diff(sums))
+    totals = np.zeros(len(texts), np.int64)
+    np.add.at(totals, owners, np.diff(sums) + (after >= 0))
     return totals
 
 
