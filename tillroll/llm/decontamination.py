@@ -325,6 +325,36 @@ def contamination(documents: DataFrame, benchmark: DataFrame, block_words: int =
     )
 
 
+def without_contaminated(
+    documents: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS
+) -> DataFrame:
+    """``documents`` (all columns) without those in which a benchmark window occurs.
+
+    Rows keep their order, and there is no shuffle however large the benchmark is: each of its blocks is one more
+    filter on the way. NULL and empty texts stay.
+    """
+    for block in item_blocks(benchmark, block_words):
+        documents = _drop_block(documents, block)
+    return documents
+
+
+def _drop_block(documents: DataFrame, block) -> DataFrame:
+    kept = documents.sparkSession.sparkContext.broadcast(windows_of(block))
+    made = []
+
+    def drop(batches):
+        if not made:
+            made.append(Searcher(kept.value))
+        for piece in pieces(batches):
+            normal = normalise(texts_of(piece.column("text")))
+            first, _ = made[0].hits(normal)
+            clean = np.ones(piece.num_rows, bool)
+            clean[np.searchsorted(normal.word_offsets[1:], first, side="right")] = False
+            yield piece.filter(pa.array(clean))
+
+    return documents.mapInArrow(drop, documents.schema)
+
+
 def digest(found: DataFrame) -> DataFrame:
     """The contract's columns from ``contamination``."""
     names = F.expr("array_join(array_sort(transform(items, x -> CAST(x AS STRING))), ',')")

@@ -10,7 +10,8 @@ what it spells, and a sequence of tokens is an encoding exactly if every two nei
 alone. So the last token of the encoding of each prefix is unique, and it can be found from the last tokens of shorter
 prefixes that a token can still reach back to. A state is just that: the longest suffix that begins some token, and
 for each position from which a token may still go on, the last token there and the token count relative to the
-present one. States and transitions are compiled when first met, into dense tables that all words of a piece of text step through together; tables that
+present one. Last tokens that keep apart from the same possible successors are interchangeable, and one stands for
+all of them. States and transitions are compiled when first met, into dense tables that all words of a piece of text step through together; tables that
 have grown to their limit are cleared and compiled anew, so memory is bounded and results do not change.
 """
 
@@ -25,7 +26,9 @@ from tillroll.llm import byte_bpe
 from tillroll.llm.batches import pieces, text_lengths
 from tillroll.llm.splitting import split
 
-STATE_LIMIT = 1 << 16
+STATE_LIMIT = 96 << 10
+#: Last tokens are told apart by their successors where there are no more than these.
+SUCCESSORS = 8
 OVER_LIMIT = 1024
 
 
@@ -37,6 +40,8 @@ class CountingTransducer:
         self.limit = limit
         self._build_suffixes()
         self._apart: dict[tuple[int, int], bool] = {}
+        self._stand_ins: dict[tuple[int, int], int] = {}
+        self._classes: dict[tuple, int] = {}
         self.clear()
 
     def _build_suffixes(self) -> None:
@@ -65,6 +70,16 @@ class CountingTransducer:
             if parent:
                 self.suffix[node] = self._go(self.suffix[parent], byte)
 
+        # Tokens that begin with a node's spelling, None for too many.
+        self.successors: list[list[int] | None] = [[] if number < 0 else [number] for number in self.token]
+        for node in sorted(range(1, len(nodes)), key=self.depth.__getitem__, reverse=True):
+            parent = nodes[node][0]
+            own, above = self.successors[node], self.successors[parent]
+            if own is None or above is None or len(own) + len(above) > SUCCESSORS:
+                self.successors[parent] = None
+            else:
+                above.extend(own)
+
     def _go(self, node: int, byte: int) -> int:
         while True:
             found = self.child.get(node << 8 | byte)
@@ -93,6 +108,21 @@ class CountingTransducer:
             self._apart[key] = known
         return known
 
+    def stand_in(self, last: int, node: int) -> int:
+        """The token that stands for ``last`` where only successors below ``node`` can follow."""
+        successors = self.successors[node]
+        if last < 0 or successors is None:
+            return last
+        key = (last, node)
+        found = self._stand_ins.get(key)
+        if found is None:
+            if len(self._stand_ins) > 1 << 20:
+                self._stand_ins.clear()
+                self._classes.clear()
+            shape = (node, *(self.apart(last, token) for token in successors))
+            found = self._stand_ins[key] = self._classes.setdefault(shape, last)
+        return found
+
     def compile(self, state: int, byte: int) -> None:
         node, flat = self.states[state]
         # How far back a position lies, to its last token and count.
@@ -112,7 +142,7 @@ class CountingTransducer:
         while suffix:
             back = self.depth[suffix]
             last, count = past[back - 1]
-            flat += (back, last, count - added)
+            flat += (back, self.stand_in(last, suffix), count - added)
             suffix = self.suffix[suffix]
         fresh = (node, tuple(flat))
         number = self.numbers.get(fresh)
@@ -120,8 +150,7 @@ class CountingTransducer:
             number = self.numbers[fresh] = len(self.states)
             self.states.append(fresh)
             if number >= len(self.next):
-                self.next = np.concatenate([self.next, np.zeros_like(self.next)])
-                self.emits = np.concatenate([self.emits, np.zeros_like(self.emits)])
+                self.next, self.emits = _doubled(self.next), _doubled(self.emits)
         self.next[state, byte] = number
         self.emits[state, byte] = added
 
@@ -149,6 +178,13 @@ class CountingTransducer:
         return out
 
 
+def _doubled(table: np.ndarray) -> np.ndarray:
+    # Fresh rows take memory only when they are first written.
+    out = np.zeros((2 * len(table), table.shape[1]), table.dtype)
+    out[: len(table)] = table
+    return out
+
+
 @lru_cache(2)
 def transducer(path: str | None = None) -> CountingTransducer:
     return CountingTransducer(byte_bpe.load(path))
