@@ -28,10 +28,15 @@ from tillroll.sinks.tables import append_bronze, count_rows, write_gold, write_s
 from tillroll.sources import generate, sales_tables as sales  # noqa: E402
 from tillroll.sources.star import read_orders, read_silver  # noqa: E402
 
+# The library is whole without the subpackage and its pipeline.
 if find_spec("tillroll.llm"):
     from tillroll.llm import queries as llm
-else:  # the library is whole without this subpackage
+else:
     llm = None
+if find_spec("corpus_pipeline"):
+    import corpus_pipeline as pipeline
+else:
+    pipeline = None
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -316,6 +321,7 @@ def queries() -> dict[str, Query]:
         "gen_products": gen_products,
         "gen_orders": gen_orders,
         **(llm.queries() if llm else {}),
+        **({"pipeline": pipeline.run} if pipeline else {}),
     }
 
 
