@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import decontamination, jaccard_join, language_id, lexicon, pseudonyms, quality, token_counts
+from tillroll.llm import decontamination, jaccard_join, language_id, lexicon, pseudonyms, quality, suffix_dedup, token_counts
 
 #: The key of the registered queries; a deployment passes its own secret.
 PSEUDONYM_KEY = b"tillroll demonstration key"
@@ -20,6 +20,10 @@ def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.held_out_predictions(table(spark, folder, "documents"))
 
 
+def op3_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.digest(suffix_dedup.removed_spans(table(spark, folder, "documents")))
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, folder, "documents"))
 
@@ -46,6 +50,7 @@ def queries():
     return {
         "op1_token_counts": op1_token_counts,
         "op2_language_id": op2_language_id,
+        "op3_suffix_array_dedup": op3_suffix_array_dedup,
         "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
         "op6_quality_rules": op6_quality_rules,
         "op8_bpe_encoding": op8_bpe_encoding,
