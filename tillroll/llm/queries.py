@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import decontamination, jaccard_join, language_id, lexicon, pseudonyms, quality, suffix_dedup, token_counts
+from tillroll.llm import backoff_lm, chaining, decontamination, jaccard_join, language_id, lexicon, pseudonyms, quality, suffix_dedup, token_counts
 
 #: The key of the registered queries; a deployment passes its own secret.
 PSEUDONYM_KEY = b"tillroll demonstration key"
@@ -28,10 +28,18 @@ def op4_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, folder, "documents"))
 
 
+def op5_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return backoff_lm.held_out_scores(table(spark, folder, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.verdicts(table(spark, folder, "documents"))
 
 
+def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return chaining.shared_passages(table(spark, folder, "documents"))
+
+
 def op8_bpe_encoding(spark: SparkSession, folder: str) -> DataFrame:
     return lexicon.digest(lexicon.round_trip(table(spark, folder, "documents")))
 
@@ -52,7 +60,9 @@ def queries():
         "op2_language_id": op2_language_id,
         "op3_suffix_array_dedup": op3_suffix_array_dedup,
         "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
+        "op5_lm_scoring": op5_lm_scoring,
         "op6_quality_rules": op6_quality_rules,
+        "op7_substring_dedup": op7_substring_dedup,
         "op8_bpe_encoding": op8_bpe_encoding,
         "op9_pii_pseudonyms": op9_pii_pseudonyms,
         "op10_benchmark_decontamination": op10_benchmark_decontamination,

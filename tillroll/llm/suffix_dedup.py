@@ -23,11 +23,11 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.batches import offsets_of, pieces, ranges, text_lengths, texts_of
+from tillroll.llm.batches import ranges
+from tillroll.llm.shards import distinct, packed, unpacked
 from tillroll.llm.word_hashing import mix
 
 LENGTH = 50
@@ -143,11 +143,6 @@ def suffix_array(data: np.ndarray) -> np.ndarray:
     return order
 
 
-def _distinct(values: np.ndarray) -> np.ndarray:
-    values = np.sort(values)
-    return values[np.append(True, values[1:] != values[:-1])] if len(values) else values
-
-
 def common_prefixes(data: np.ndarray, order: np.ndarray) -> np.ndarray:
     """Kasai: bytes that each suffix shares with the one before it in ``order``, ``DEPTH`` at most.
 
@@ -201,7 +196,7 @@ class Shard:
         self.runs = seed_runs(self.data, self.ends)
 
     def seeds(self) -> np.ndarray:
-        return _distinct(self.runs[2])
+        return distinct(self.runs[2])
 
     def choose(self, elsewhere: np.ndarray) -> None:
         """Keeps the strings whose seeds are ``elsewhere`` (sorted) or in two documents here."""
@@ -231,7 +226,7 @@ class Shard:
         # Only strings whose seeds are elsewhere are asked about.
         self.asked = np.repeat(shared, count)
         self.names = _doubled(self.region, (32, 16, 2))[self.at] if len(self.at) else np.zeros(0, np.uint64)
-        self.keys = _distinct(self.names[self.asked])
+        self.keys = distinct(self.names[self.asked])
 
     def earlier_here(self) -> np.ndarray:
         """Whether a document before the string's own in this shard has the string, by the suffix array."""
@@ -273,25 +268,14 @@ def _parts(values: np.ndarray, groups: int) -> list[np.ndarray]:
     return [values[a:b] for a, b in zip(bounds, bounds[1:])]
 
 
-def _unpack(table: pa.Table) -> tuple[np.ndarray, list[bytes]]:
-    ids, texts = [np.zeros(0, np.int64)], []
-    for row in table.select(["ids", "sizes", "packed"]).to_pylist():
-        ids.append(np.frombuffer(row["ids"], np.int64))
-        sizes = np.frombuffer(row["sizes"], np.int64)
-        data = zstandard.ZstdDecompressor().decompress(row["packed"]) if sizes.sum() else b""
-        ends = offsets_of(sizes).tolist()
-        texts.extend(data[a:b] for a, b in zip(ends, ends[1:]))
-    return np.concatenate(ids), texts
-
-
 def _answers(table: pa.Table, kind: int) -> list[dict]:
     return [row for row in table.to_pylist() if row["kind"] == kind]
 
 
 def _shard(texts: pa.Table, side: pa.Table) -> Shard:
-    ids, rows = _unpack(texts)
+    ids, rows = unpacked(texts)
     copies = [np.frombuffer(row["blob"], np.int64) for row in _answers(side, _COPIES)]
-    return Shard(ids, rows, np.concatenate(copies) if copies else np.zeros(0, np.int64))
+    return Shard(ids.to_numpy(), rows, np.concatenate(copies) if copies else np.zeros(0, np.int64))
 
 
 def _elsewhere(side: pa.Table) -> np.ndarray:
@@ -301,7 +285,6 @@ def _elsewhere(side: pa.Table) -> np.ndarray:
 
 _SENT = "part INT, shard INT, blob BINARY"
 _SIDE = "shard INT, kind INT, part INT, blob BINARY"
-_PACKED = "shard INT, ids BINARY, sizes BINARY, packed BINARY"
 
 
 def _sent(shard: int, parts: list[np.ndarray]) -> pa.Table:
@@ -335,7 +318,7 @@ def _repeated_seeds(table: pa.Table) -> pa.Table:
     """For each shard its seeds that another shard has too."""
     shards, runs = _runs_of(table)
     values = np.sort(np.concatenate(runs))
-    values = _distinct(values[1:][values[1:] == values[:-1]])
+    values = distinct(values[1:][values[1:] == values[:-1]])
     return _side(shards, _SEEDS, table.column("part")[0].as_py(), [run[_among(run, values)].tobytes() for run in runs])
 
 
@@ -355,7 +338,7 @@ def _lower_bits(table: pa.Table) -> pa.Table:
     return _side(shards, _BITS, part, bits)
 
 
-def _shard_bounds(documents: DataFrame, shard_bytes: int) -> list[int]:
+def shard_bounds(documents: DataFrame, shard_bytes: int) -> list[int]:
     """Upper ends of the id ranges of all shards but the last."""
     total = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(LEAST_SHARDS, -(-total // shard_bytes))
@@ -374,33 +357,16 @@ def removed_spans(documents: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataF
     """
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     known = rows.filter("doc_id IS NOT NULL")
-    bounds = np.array(_shard_bounds(known, shard_bytes), np.int64)
+    bounds = np.array(shard_bounds(known, shard_bytes), np.int64)
     groups = len(bounds) + 1
     wide = f"doc_id BIGINT, n_bytes BIGINT, spans ARRAY<STRUCT<start: BIGINT, stop: BIGINT>>, kept BINARY"
 
-    def pack(batches):
-        squeeze = zstandard.ZstdCompressor(level=1)
-        for piece in pieces(batches, size=16 << 20):
-            ids = piece.column("doc_id").to_numpy()
-            texts, sizes = texts_of(piece.column("text")), text_lengths(piece.column("text"))
-            shard = np.searchsorted(bounds, ids, side="left")
-            order = np.argsort(shard, kind="stable")
-            cuts = np.flatnonzero(np.append(True, shard[order][1:] != shard[order][:-1])).tolist()
-            packed = []
-            for a, b in zip(cuts, [*cuts[1:], len(order)]):
-                own = order[a:b]
-                blob = squeeze.compress(b"".join(texts[i] for i in own.tolist()))
-                packed.append((int(shard[own[0]]), ids[own].tobytes(), sizes[own].tobytes(), blob))
-            columns = list(zip(*packed))
-            kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds)], names=["shard", "ids", "sizes", "packed"]
-            )
+    def shard_of(batch):
+        return np.searchsorted(bounds, batch.column("doc_id").to_numpy(), side="left")
 
     def copy_blobs(batches):
         for batch in batches:
-            ids = batch.column("doc_id").to_numpy()
-            shard = np.searchsorted(bounds, ids, side="left")
+            ids, shard = batch.column("doc_id").to_numpy(), shard_of(batch)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(shard.astype(np.int32)),
@@ -411,7 +377,7 @@ def removed_spans(documents: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataF
                 names=["shard", "kind", "part", "blob"],
             )
 
-    texts = known.mapInArrow(pack, _PACKED)
+    texts = packed(known, shard_of)
     hashed = known.select("doc_id", F.sha2("text", 256).alias("hash")).filter("hash IS NOT NULL")
     heads = hashed.groupBy("hash").agg(F.min("doc_id").alias("first"))
     copies = hashed.join(heads, "hash").filter("doc_id > first").select("doc_id").mapInArrow(copy_blobs, _SIDE)
