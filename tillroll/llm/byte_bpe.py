@@ -32,26 +32,32 @@ class BytePairs:
         for text, number in self.special.items():
             self.tokens[number] = text.encode()
         self.single = [ids[bytes([byte])] for byte in range(256)]
-        self.merges = {}
+        self.ranks: dict[tuple[int, int], int] = {}
+        self.joined: list[int] = []
         for rank, (left, right) in enumerate(model["merges"]):
             a, b = (bytes(letters[c] for c in part) for part in (left, right))
-            self.merges[ids[a], ids[b]] = (rank, ids[a + b])
+            self.ranks[ids[a], ids[b]] = rank
+            self.joined.append(ids[a + b])
+        self.never = len(self.joined)
 
     def merge(self, word: bytes) -> list[int]:
         """Ids of a word: the pair of lowest rank is joined, leftmost first, until no pair is left."""
         parts = [self.single[byte] for byte in word]
         if len(parts) > 64:
             return self._merge_long(parts)
-        merges = self.merges
-        while len(parts) > 1:
-            best, place = None, -1
-            for i in range(len(parts) - 1):
-                found = merges.get((parts[i], parts[i + 1]))
-                if found is not None and (best is None or found[0] < best[0]):
-                    best, place = found, i
-            if best is None:
+        rank_of, never = self.ranks.get, self.never
+        ranks = [rank_of(pair, never) for pair in zip(parts, parts[1:])]
+        while ranks:
+            best = min(ranks)
+            if best == never:
                 break
-            parts[place : place + 2] = [best[1]]
+            place = ranks.index(best)
+            parts[place : place + 2] = [self.joined[best]]
+            del ranks[place]
+            if place:
+                ranks[place - 1] = rank_of((parts[place - 1], parts[place]), never)
+            if place < len(ranks):
+                ranks[place] = rank_of((parts[place], parts[place + 1]), never)
         return parts
 
     def _merge_long(self, parts: list[int]) -> list[int]:
@@ -64,18 +70,18 @@ class BytePairs:
 
         def offer(i):
             if i >= 0 and after[i] >= 0:
-                found = self.merges.get((parts[i], parts[after[i]]))
-                if found is not None:
-                    heapq.heappush(heap, (found[0], i, parts[i], parts[after[i]], found[1]))
+                rank = self.ranks.get((parts[i], parts[after[i]]))
+                if rank is not None:
+                    heapq.heappush(heap, (rank, i, parts[i], parts[after[i]]))
 
         for i in range(len(parts)):
             offer(i)
         while heap:
-            _, i, left, right, joined = heapq.heappop(heap)
+            rank, i, left, right = heapq.heappop(heap)
             j = after[i]
             if parts[i] != left or j < 0 or parts[j] != right:
                 continue
-            parts[i], parts[j] = joined, -1
+            parts[i], parts[j] = self.joined[rank], -1
             after[i] = after[j]
             if after[j] >= 0:
                 before[after[j]] = i

@@ -26,7 +26,8 @@ from tillroll.sinks.scratch import materialise
 LEXICON_WORDS = 1 << 17
 LONGEST = 48
 _COUNTER_WORDS = 1 << 18
-_REMEMBERED = 1 << 18
+_REMEMBERED = 1 << 17
+_ROWS = 256
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -237,26 +238,30 @@ class Encoder:
         fill = len(self.lexicon.ids)
         place: dict[bytes, tuple[int, int]] = {}
         data = words.data.tobytes()
-        for i in np.flatnonzero(~held).tolist():
-            begin = int(words.starts[i])
-            word = data[begin : begin + int(words.lengths[i])]
+        unseen = np.flatnonzero(~held)
+        spots = []
+        for begin, size in zip(words.starts[unseen].tolist(), words.lengths[unseen].tolist()):
+            word = data[begin : begin + size]
             at = place.get(word)
             if at is None:
                 own = self._merged(word)
                 at = place[word] = (fill, len(own))
                 ids.append(own)
                 fill += len(own)
-            starts[i], sizes[i] = at
+            spots.append(at)
+        if spots:
+            starts[unseen], sizes[unseen] = np.array(spots, np.int64).T
         if (after >= 0).any():
-            spots = np.flatnonzero(after >= 0)
-            ids.append(after[spots])
-            ends = words.text_offsets[spots + 1]
-            starts = np.insert(starts, ends, fill + np.arange(len(spots)))
+            marks = np.flatnonzero(after >= 0)
+            ids.append(after[marks])
+            ends = words.text_offsets[marks + 1]
+            starts = np.insert(starts, ends, fill + np.arange(len(marks)))
             sizes = np.insert(sizes, ends, 1)
             part_offsets = words.text_offsets + np.append(0, np.cumsum(after >= 0))
         else:
             part_offsets = words.text_offsets
-        flat = np.concatenate(ids).astype(np.int32)[ranges(starts, sizes)]
+        extra = np.fromiter((number for own in ids[1:] for number in own), np.int32)
+        flat = np.concatenate([ids[0], extra])[ranges(starts, sizes)]
         by_part = offsets_of(sizes)[part_offsets]
         last = np.searchsorted(owners, np.arange(len(texts)), side="right")
         return flat, np.append(0, by_part[last])
@@ -316,19 +321,19 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     def run(batches):
         data, places = _spellings(path)
         for batch in batches:
-            column = batch.column("ids")
-            ids = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            sizes = np.array([0 if x is None else x for x in pc.list_value_length(column).to_pylist()], np.int64)
-            ends = offsets_of(sizes)
-            texts = []
-            valid = column.is_valid().to_pylist()
-            for row in range(len(column)):
-                own = ids[ends[row] : ends[row + 1]]
-                spelt = data[ranges(places[own], places[own + 1] - places[own])].tobytes()
-                texts.append(spelt.decode("utf-8", "replace") if valid[row] else None)
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(n) for n in kept), pa.array(texts, pa.string())], names=[*kept, "decoded"]
-            )
+            for begin in range(0, batch.num_rows, _ROWS):
+                part = batch.slice(begin, _ROWS)
+                column = part.column("ids")
+                ids = column.flatten().to_numpy(zero_copy_only=False)
+                ends = offsets_of(pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)).tolist()
+                texts = []
+                for a, b, valid in zip(ends, ends[1:], column.is_valid().to_pylist()):
+                    own = ids[a:b].astype(np.int64)
+                    spelt = data[ranges(places[own], places[own + 1] - places[own])].tobytes()
+                    texts.append(spelt.decode("utf-8", "replace") if valid else None)
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(n) for n in kept), pa.array(texts, pa.string())], names=[*kept, "decoded"]
+                )
 
     fields = [field for field in encoded.schema.fields if field.name in kept]
     schema = T.StructType([*fields, T.StructField("decoded", T.StringType())])

@@ -17,6 +17,7 @@ import numpy as np
 from tillroll.llm.batches import offsets_of
 
 CHUNK = 256
+_SETTLING = 24
 
 # Character classes. Letters that occur in "'s 't 'm 'd 're 've 'll" have classes of their own.
 (_ONE, _R, _V, _L, _E, _LETTER, _NUMBER, _OTHER, _QUOTE, _SPACE, _BLANK, _EDGE) = range(12)
@@ -89,13 +90,23 @@ def character_classes() -> np.ndarray:
     return table
 
 
+def _read(states: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """The states (several of each row) after reading the row's characters."""
+    for column in np.ascontiguousarray(classes.T):
+        states = _FLAT_TARGET[states.astype(np.int16) * CLASSES + column[:, None]]
+    return states
+
+
 def start_states(classes: np.ndarray) -> np.ndarray:
     """State at the beginning of each row of ``classes``, rows being chunks in order."""
     chunks, length = classes.shape
     states = np.tile(np.arange(STATES, dtype=np.uint8), (chunks, 1))
-    scaled = _FLAT_TARGET
-    for column in range(length):
-        states = scaled[states.astype(np.int16) * CLASSES + classes[:, column, None]]
+    states = _read(states, classes[:, :_SETTLING])
+    # By now nearly every chunk has come to one state from all of them, and is read on from that one.
+    settled = (states == states[:, :1]).all(axis=1)
+    single = _read(states[settled][:, :1], classes[settled, _SETTLING:])
+    states[settled] = np.repeat(single, STATES, axis=1)
+    states[~settled] = _read(states[~settled], classes[~settled, _SETTLING:])
     # maps[i] leads from the beginning of chunk i to its end; after the scan, from the beginning of all.
     reach = 1
     while reach < chunks:
