@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 from collections.abc import Callable
 from importlib.util import find_spec
 
@@ -13,18 +14,28 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from oracle_queries import ORACLES  # noqa: E402
+from tillroll import schemas  # noqa: E402
 from tillroll.functions.calendar import in_month  # noqa: E402
 from tillroll.functions.codes import order_code, product_label, region_of_country  # noqa: E402
 from tillroll.functions.hashing import simulated_return  # noqa: E402
 from tillroll.operators import gold  # noqa: E402
 from tillroll.operators.outliers import price_outliers  # noqa: E402
-from tillroll.operators.quality import order_rejects  # noqa: E402
-from tillroll.operators.silver import enrich, with_calendar  # noqa: E402
+from tillroll.operators.quality import cast_failures, order_rejects, split_orders  # noqa: E402
+from tillroll.operators.silver import clean, enrich, with_calendar  # noqa: E402
 from tillroll.operators.skew import salted_revenue  # noqa: E402
 from tillroll.plans import reports  # noqa: E402
-from tillroll.plans.layers import build_layers  # noqa: E402
-from tillroll.sinks.scratch import materialise, scratch_path  # noqa: E402
-from tillroll.sinks.tables import append_bronze, count_rows, write_gold, write_silver  # noqa: E402
+from tillroll.plans.layers import build_layers, register_views, stored_layers, write_layers  # noqa: E402
+from tillroll.sinks.scratch import SETTING, materialise, scratch_path  # noqa: E402
+from tillroll.sinks.tables import (  # noqa: E402
+    append_bronze,
+    count_rows,
+    rebuild_months,
+    reused,
+    sample,
+    write_bucketed,
+    write_gold,
+    write_silver,
+)
 from tillroll.sources import generate, sales_tables as sales  # noqa: E402
 from tillroll.sources.star import read_orders, read_silver  # noqa: E402
 
@@ -105,17 +116,16 @@ def channel_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mix.withColumn("pct", F.round("pct", 4))
 
 
-def net_revenue(spark: SparkSession, folder: str) -> DataFrame:
-    net = gold.net_revenue(lines_by_region(spark, folder))
-    return net.withColumn("return_rate", F.round("return_rate", 6))
+def net_revenue(simulated: bool) -> Query:
+    """With ``simulated``, about 5 % of the orders are taken as returned, whatever their flag says."""
 
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        lines = lines_by_region(spark, folder)
+        if simulated:
+            lines = lines.withColumn("is_return", simulated_return(5, SEED, F.col("order_id")))
+        return gold.net_revenue(lines).withColumn("return_rate", F.round("return_rate", 6))
 
-def net_revenue_simulated(spark: SparkSession, folder: str) -> DataFrame:
-    """About 5 % of the orders taken as returned, whatever their flag says."""
-    lines = lines_by_region(spark, folder)
-    return gold.net_revenue(
-        lines.withColumn("is_return", simulated_return(5, SEED, F.col("order_id")))
-    )
+    return query
 
 
 def outliers(spark: SparkSession, folder: str) -> DataFrame:
@@ -124,16 +134,10 @@ def outliers(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def top_categories(text: str) -> Query:
-    def query(spark: SparkSession, folder: str) -> DataFrame:
-        lines = lines_by_region(spark, folder)
-        monthly = gold.monthly_region_category(lines, with_last_date=True)
-        # The report reads the table more than once, with different columns.
-        return reports.run(
-            text, gold_monthly_region_category=materialise(monthly, "monthly_region_category")
-        )
-
-    return query
+def top_categories(month: str) -> Query:
+    return lambda spark, folder: reports.top_categories(
+        sales.orders(spark, folder), sales.customers(spark, folder), sales.products(spark, folder), month
+    )
 
 
 def revenue_trend(spark: SparkSession, folder: str) -> DataFrame:
@@ -144,13 +148,13 @@ def top_customers_report(spark: SparkSession, folder: str) -> DataFrame:
     return reports.run(reports.TOP_CUSTOMERS, gold_top_customers=top_customers(10)(spark, folder))
 
 
-def layers(spark: SparkSession, folder: str):
-    bronze = sales.orders(spark, folder).select(BRONZE_COLUMNS)
-    return build_layers(bronze, sales.customers(spark, folder), sales.products(spark, folder))
+def newest_month_share(spark: SparkSession, folder: str) -> DataFrame:
+    monthly = gold.monthly_region_category(lines_by_region(spark, folder))
+    return reports.run(reports.NEWEST_MONTH_SHARE, gold_monthly_region_category=monthly)
 
 
 def layer_counts(spark: SparkSession, folder: str) -> DataFrame:
-    built = layers(spark, folder)
+    built = stored_layers(silver_left(spark, folder), scratch_path(spark, "silver_orders"))
     return count_rows(
         {
             "orders_bronze": sales.orders(spark, folder),
@@ -160,29 +164,53 @@ def layer_counts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def written_layers(spark: SparkSession, folder: str) -> tuple[str, DataFrame]:
+    """Where the layers were written, and silver as built."""
+    bronze = sales.orders(spark, folder).select(BRONZE_COLUMNS)
+    layers = build_layers(bronze, sales.customers(spark, folder), sales.products(spark, folder))
+    base = scratch_path(spark, "layers")
+    write_layers(layers, base, dry_run=False)
+    return base, layers.orders_silver
+
+
+def layers_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """Silver with all its columns, after all layers were built and written in one go."""
+    base, silver = written_layers(spark, folder)
+    return read_silver(spark, f"{base}/silver_orders", silver.schema).select(silver.columns)
+
+
 def gold_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """The three gold tables written, read back and laid under each other."""
-    base = scratch_path(spark, "gold")
-    tables = {}
-    for name, frame in layers(spark, folder).gold().items():
-        write_gold(frame, f"{base}/{name}")
-        tables[name] = spark.read.schema(frame.schema).parquet(f"{base}/{name}")
+    base, _ = written_layers(spark, folder)
     columns = {
         "gold_monthly_region_category": ["yyyymm", "region", "category", "revenue AS amount", "units"],
         "gold_top_customers": [
             "region", "customer_id", "total_spent AS amount", "CAST(rank AS BIGINT) AS units",
         ],
-        "gold_moving_rev": ["yyyymm", "revenue AS amount"],
+        "gold_moving_rev": ["yyyymm", "revenue AS amount", "round(rev_ma_3m, 4) AS average"],
     }
-    frames = [
-        tables[name].selectExpr(f"'{name}' AS layer", *chosen) for name, chosen in columns.items()
-    ]
-    stacked = frames[0]
-    for frame in frames[1:]:
-        stacked = stacked.unionByName(frame, allowMissingColumns=True)
+    stacked = None
+    for name, chosen in columns.items():
+        frame = spark.read.parquet(f"{base}/{name}").selectExpr(f"'{name}' AS layer", *chosen)
+        stacked = frame if stacked is None else stacked.unionByName(frame, allowMissingColumns=True)
     return stacked
 
 
+def layers_views(spark: SparkSession, folder: str) -> DataFrame:
+    """Filled values per month and region of silver, and its best customer, by SQL over the registered views."""
+    register_views(stored_layers(silver_left(spark, folder), scratch_path(spark, "silver_orders")))
+    return spark.sql(
+        """
+        SELECT s.yyyymm, s.region, count(order_id) AS orders, count(product_id) AS products, count(channel) AS channels,
+               count(unit_price) AS prices, sum(quantity) AS units, any_value(best.total_spent) AS best_spend
+        FROM orders_silver s
+        LEFT JOIN (SELECT region, max(total_spent) AS total_spent FROM gold_top_customers GROUP BY region) best
+          ON s.region <=> best.region
+        GROUP BY s.yyyymm, s.region
+        """
+    )
+
+
 def silver_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     silver = silver_left(spark, folder)
     path = scratch_path(spark, "silver_orders")
@@ -191,26 +219,112 @@ def silver_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def silver_roundtrip_pruned(spark: SparkSession, folder: str) -> DataFrame:
-    """One region in one month, read from its own folder."""
+    """The first region by name in the last full month, read from its own folder."""
+    month = reports.report_month(sales.orders(spark, folder), "last_full")
+    region = sales.customers(spark, folder).agg(F.min("region").alias("region")).first()["region"]
     silver = silver_roundtrip(spark, folder)
-    return silver.filter((F.col("yyyymm") == "199806") & (F.col("region") == "EUROPE"))
+    return silver.filter((F.col("yyyymm") == F.lit(month)) & (F.col("region") == F.lit(region)))
 
 
 def silver_month_rebuilt(spark: SparkSession, folder: str) -> DataFrame:
-    """Silver written, its latest month made again from bronze, then totalled."""
+    """Silver written, then its last full month made again after a third of the customers moved and all quantities grew
+    by one; totals per month and region."""
     silver = silver_left(spark, folder)
     path = scratch_path(spark, "silver_orders")
     write_silver(silver, path)
-    month = gold.latest_month(read_silver(spark, path, silver.schema)).first()["yyyymm"]
-    rebuilt = silver.filter(in_month(F.col("order_ts"), month))
-    write_silver(rebuilt, path, only_these_months=True)
+    orders = sales.orders(spark, folder).select(BRONZE_COLUMNS)
+    month = reports.report_month(orders, "last_full")
+    if month:
+        moved = sales.customers(spark, folder).withColumn(
+            "region", F.when(F.col("customer_id") % 3 == 0, "MOVED").otherwise(F.col("region"))
+        )
+        changed = orders.filter(in_month(F.col("order_ts"), month)).withColumn("quantity", F.col("quantity") + 1)
+        rebuild_months(enrich(changed, moved, sales.products(spark, folder)), path, [month])
     return (
         read_silver(spark, path, silver.schema)
-        .groupBy("yyyymm")
-        .agg(F.count(F.lit(1)).alias("row_count"), F.sum("quantity").alias("units"))
+        .groupBy("yyyymm", "region")
+        .agg(
+            F.count(F.lit(1)).alias("row_count"),
+            F.sum("quantity").alias("units"),
+            gold.money_sum(F.col("total_amount")).alias("revenue"),
+        )
+    )
+
+
+def bent_star(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Orders with NULL keys, unknown keys and quantities of zero, and thinned dimensions."""
+    orders = (
+        sales.orders(spark, folder)
+        .select(BRONZE_COLUMNS)
+        .withColumn("quantity", F.when(F.col("quantity") == 50, 0).otherwise(F.col("quantity")))
+        .withColumn("order_id", F.when(F.col("product_id") % 17 != 3, F.col("order_id")))
+        .withColumn("customer_id", F.when(F.col("customer_id") % 13 != 5, F.col("customer_id")))
+    )
+    customers = sales.customers(spark, folder).filter(F.col("customer_id") % 7 != 0)
+    products = sales.products(spark, folder).filter(F.col("product_id") % 11 != 0)
+    return orders, customers, products
+
+
+def bent_silver(how: str) -> Query:
+    return lambda spark, folder: enrich(*bent_star(spark, folder), how=how)
+
+
+def orders_rejected(spark: SparkSession, folder: str) -> DataFrame:
+    _, rejected = split_orders(*bent_star(spark, folder))
+    return rejected.withColumn("rules", F.array_join("rules", ","))
+
+
+def raw_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Bronze as text, with numbers and times that do not parse."""
+    text = sales.orders(spark, folder).select([F.col(c).cast("string").alias(c) for c in BRONZE_COLUMNS])
+    number = F.col("product_id").cast("long")
+    return text.withColumn("quantity", F.when(number % 5 == 0, "many").otherwise(F.col("quantity"))).withColumn(
+        "order_ts", F.when(number % 9 == 4, "soon").otherwise(F.col("order_ts"))
     )
 
 
+RAW_SCHEMA = schemas.ORDERS_BRONZE.replace("order_ts TIMESTAMP", "order_ts TIMESTAMP_NTZ")
+
+
+def gapped_average(calendar: bool) -> Query:
+    """The moving average where every third and seventh month of a year is missing."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        lines = priced_lines(spark, folder).filter(~F.month("order_ts").isin(3, 7))
+        average = gold.moving_average(gold.monthly_total(lines), calendar=calendar)
+        return average.withColumn("rev_ma_3m", F.round("rev_ma_3m", 4))
+
+    return query
+
+
+def first_orders(spark: SparkSession, folder: str) -> DataFrame:
+    bronze = sales.orders(spark, folder).select(BRONZE_COLUMNS)
+    return sample(bronze.orderBy(*BRONZE_COLUMNS), 25)
+
+
+def gold_in_one_file(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "gold")
+    write_gold(monthly_region_category(spark, folder), path, files=1)
+    stored = spark.read.parquet(path).select(F.input_file_name().alias("file"))
+    return stored.agg(F.count_distinct("file").alias("files"), F.count(F.lit(1)).alias("row_count"))
+
+
+def bucketed_spend(spark: SparkSession, folder: str) -> DataFrame:
+    """Spend and region per customer over two tables bucketed by customer; joins and totals need no shuffle."""
+    write_bucketed(priced_lines(spark, folder).select("customer_id", "total_amount"), "tillroll_bucketed_lines", 8)
+    write_bucketed(sales.customers(spark, folder).select("customer_id", "region"), "tillroll_bucketed_customers", 8)
+    lines, customers = spark.table("tillroll_bucketed_lines"), spark.table("tillroll_bucketed_customers")
+    totals = lines.groupBy("customer_id").agg(gold.money_sum(F.col("total_amount")).alias("total_spent"))
+    return totals.join(customers, "customer_id", "left").select("region", "customer_id", "total_spent")
+
+
+def reused_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts of one cached frame and of a part of it, stored before the frame is released."""
+    with reused(priced_lines(spark, folder)) as lines:
+        counts = count_rows({"lines": lines, "returns": lines.filter("is_return = 1")})
+        return materialise(counts, "counts")
+
+
 def bronze_append(spark: SparkSession, folder: str) -> DataFrame:
     """Bronze stored by two appends, first sales and then returns."""
     bronze = sales.orders(spark, folder)
@@ -220,16 +334,28 @@ def bronze_append(spark: SparkSession, folder: str) -> DataFrame:
     return read_orders(spark, path, bronze.schema)
 
 
+# Countries of every region, of none, and some that only look like one.
+COUNTRIES = [
+    "United States of America", "United States Minor Outlying Islands", "Canada", "France", "france", "Germany", "Spain",
+    "United Kingdom", "India", "Japan", "Singapore", "Brazil",
+]
+
+
 def region_map(spark: SparkSession, folder: str) -> DataFrame:
+    """The region of a country chosen by the customer's key; every thirteenth has none."""
+    number = F.col("customer_id") % (len(COUNTRIES) + 1)
+    names = F.array(*[F.lit(name) for name in COUNTRIES])
+    chosen = F.when(number < len(COUNTRIES), F.get(names, number.cast("int")))
     return sales.customers(spark, folder).select(
-        "customer_id", "country", region_of_country(F.col("country")).alias("sales_region")
+        "customer_id", chosen.alias("country"), region_of_country(chosen).alias("sales_region")
     )
 
 
 def order_ids(spark: SparkSession, folder: str) -> DataFrame:
     number = F.col("o_orderkey")
+    long = number * 1_000_003  # ids of up to twelve digits
     return sales.table(spark, folder, "orders").select(
-        number.alias("order_number"), order_code(number).alias("order_id")
+        number.alias("order_number"), order_code(number).alias("order_id"), order_code(long).alias("long_order_id")
     )
 
 
@@ -276,7 +402,23 @@ def entry(spark: SparkSession) -> DataFrame:
     return monthly_region_category(spark, "/root/testdata/sf0.001")
 
 
+def with_shared_folder(query: Query) -> Query:
+    """``query`` in sessions of one machine too that name no shared folder; those of a cluster must name one."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(SETTING, None)
+        if not named and spark.sparkContext.master.startswith("local"):
+            spark.conf.set(SETTING, tempfile.mkdtemp(prefix="tillroll-"))
+        return query(spark, folder)
+
+    return run
+
+
 def queries() -> dict[str, Query]:
+    return {name: with_shared_folder(query) for name, query in all_queries().items()}
+
+
+def all_queries() -> dict[str, Query]:
     return {
         "dim_customers": sales.customers,
         "dim_products": sales.products,
@@ -287,28 +429,32 @@ def queries() -> dict[str, Query]:
         "region_map": region_map,
         "silver_left": silver_left,
         "silver_inner": silver_inner,
-        "order_rejects": lambda spark, folder: order_rejects(
-            sales.orders(spark, folder), sales.customers(spark, folder), sales.products(spark, folder)
-        ),
+        "silver_left_bent": bent_silver("left"),
+        "silver_inner_bent": bent_silver("inner"),
+        "order_rejects": lambda spark, folder: order_rejects(*bent_star(spark, folder)),
+        "orders_rejected": orders_rejected,
+        "orders_cleaned": lambda spark, folder: clean(raw_orders(spark, folder), RAW_SCHEMA),
+        "cast_failures": lambda spark, folder: cast_failures(raw_orders(spark, folder), RAW_SCHEMA),
         "monthly_region_category": monthly_region_category,
         "customer_spend": customer_spend,
         "top_customers_10": top_customers(10),
         "top_customers_5": top_customers(5),
         "monthly_total": lambda spark, folder: gold.monthly_total(priced_lines(spark, folder)),
-        "latest_month": lambda spark, folder: gold.latest_month(
-            with_calendar(sales.orders(spark, folder))
-        ),
+        "latest_month": lambda spark, folder: gold.latest_month(sales.orders(spark, folder)),
         "moving_avg_3m": moving_average(calendar=False),
         "moving_avg_3m_calendar": moving_average(calendar=True),
+        "moving_avg_gap": gapped_average(calendar=False),
+        "moving_avg_gap_calendar": gapped_average(calendar=True),
         "channel_mix": channel_mix,
-        "net_revenue": net_revenue,
-        "net_revenue_simulated": net_revenue_simulated,
+        "net_revenue": net_revenue(simulated=False),
+        "net_revenue_simulated": net_revenue(simulated=True),
         "price_outliers": outliers,
         "salted_region_revenue": lambda spark, folder: salted_revenue(
-            lines_by_region(spark, folder), ["region"]
+            lines_by_region(spark, folder), ["region"], ["customer_id", "product_id"]
         ),
-        "top_categories_latest": top_categories(reports.TOP_CATEGORIES_LATEST),
-        "top_categories_last_full": top_categories(reports.TOP_CATEGORIES_LAST_FULL),
+        "top_categories_latest": top_categories("latest"),
+        "top_categories_last_full": top_categories("last_full"),
+        "newest_month_share": newest_month_share,
         "revenue_trend": revenue_trend,
         "top_customers_report": top_customers_report,
         "layer_counts": layer_counts,
@@ -316,6 +462,12 @@ def queries() -> dict[str, Query]:
         "silver_roundtrip_pruned": silver_roundtrip_pruned,
         "silver_month_rebuilt": silver_month_rebuilt,
         "gold_roundtrip": gold_roundtrip,
+        "layers_roundtrip": layers_roundtrip,
+        "layers_views": layers_views,
+        "first_orders": first_orders,
+        "gold_in_one_file": gold_in_one_file,
+        "bucketed_spend": bucketed_spend,
+        "reused_counts": reused_counts,
         "bronze_append": bronze_append,
         "gen_customers": gen_customers,
         "gen_products": gen_products,

@@ -1,4 +1,5 @@
 from datetime import date, datetime
+from decimal import Decimal
 
 import pytest
 from conftest import rows_of
@@ -71,7 +72,7 @@ def test_month_index_is_consecutive_over_new_year(spark):
 
 def total(spark, amounts):
     frame = spark.createDataFrame([(a,) for a in amounts], "amount DOUBLE")
-    return rows_of(frame.agg(money_sum(F.col("amount"))))[0][0]
+    return rows_of(frame.agg(money_sum(F.col("amount")).alias("total")))[0][0]
 
 
 def test_money_is_exact_where_floats_are_not(spark):
@@ -85,12 +86,28 @@ def test_money_skips_nulls_and_keeps_all_null_groups_null(spark):
     assert total(spark, []) is None
 
 
-def test_money_beyond_whole_cents_is_the_float_sum(spark):
+def test_money_keeps_what_is_below_a_cent(spark):
+    assert total(spark, [0.004] * 1000) == 4.0
+    assert total(spark, [0.045] * 1000) == 45.0
+    assert total(spark, [0.000001] * 7) == 0.000007
+
+
+def test_money_of_both_signs_and_of_any_size_is_exact(spark):
+    amounts = [-0.5, -1234567.875, 16777216.0, -16777216.25, 33554431.999999, 9e15, -9e15, 5e17, -5e17, 0.004]
+    wanted = float(sum(Decimal(repr(a)) for a in amounts))
+    for order in (amounts, amounts[::-1], sorted(amounts)):
+        frame = spark.createDataFrame([(a,) for a in order * 50], "amount DOUBLE")
+        for parts in (1, 7):
+            assert rows_of(frame.repartition(parts).agg(money_sum(F.col("amount")).alias("total")))[0][0] == 50 * wanted
     assert total(spark, [8e16, 8e16]) == 1.6e17
+    assert total(spark, [-5.0, 5.0]) == 0.0
+
+
+def test_amounts_out_of_range_are_added_as_floats(spark):
     assert total(spark, [1e300, 1.0]) == 1e300
     assert total(spark, [float("inf"), 1.0]) == float("inf")
     assert total(spark, [float("nan"), 1.0]) != total(spark, [float("nan"), 1.0])
-    assert total(spark, [-5.0, 5.0]) == 0.0
+    assert total(spark, [3e18, 0.004]) == 3e18
 
 
 def test_order_date_is_a_date(spark):

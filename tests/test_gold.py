@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as driver
 from tillroll.operators import gold
 from tillroll.operators.outliers import price_outliers
-from tillroll.operators.quality import cast_failures, order_rejects
+from tillroll.operators.quality import cast_failures, duplicate_keys, order_rejects, split_orders
 from tillroll.operators.silver import clean, enrich, redistribute
 from tillroll.operators.skew import salted_revenue
 from tillroll.plans import reports
@@ -17,7 +17,6 @@ from tillroll.schemas import ORDERS_BRONZE
 
 SPEND = "region STRING, customer_id INT, total_spent DOUBLE"
 MONTHLY = "yyyymm STRING, revenue DOUBLE"
-GOLD = "yyyymm STRING, region STRING, category STRING, revenue DOUBLE, units BIGINT, last_order_date DATE"
 
 
 def test_enrich_left_and_inner(spark):
@@ -116,25 +115,49 @@ def test_moving_average_warms_up_and_skips_nulls(spark):
     assert ordered(rows_of(gold.moving_average(monthly)))[1] == ("202402", None, 4.0)
 
 
-@pytest.mark.parametrize(
-    "last_day, expected",
-    [(date(2024, 6, 1), ("May", 7.0)), (date(2024, 6, 30), ("June", 5.0))],
-)
-def test_last_full_month(spark, last_day, expected):
-    monthly = spark.createDataFrame(
-        [("202405", "E", "May", 7.0, 1, date(2024, 5, 20)), ("202406", "E", "June", 5.0, 1, last_day)], GOLD
+def star(spark, sales):
+    """Orders of one piece each, one product per category, one customer."""
+    rows = [(f"o{i}", datetime(*day), 1, product, 1, "Store") for i, (day, product) in enumerate(sales)]
+    products = sorted({product for _, product in sales})
+    return (
+        spark.createDataFrame(rows, ORDERS_BRONZE),
+        spark.createDataFrame([(1, "E")], "customer_id BIGINT, region STRING"),
+        spark.createDataFrame(
+            [(p, f"c{p}", 1.0 if p < 10 else float(p)) for p in products],
+            "product_id BIGINT, category STRING, base_price DOUBLE",
+        ),
     )
-    last_full = reports.run(reports.TOP_CATEGORIES_LAST_FULL, gold_monthly_region_category=monthly)
-    assert rows_of(last_full) == [("E", *expected)]
-    latest = reports.run(reports.TOP_CATEGORIES_LATEST, gold_monthly_region_category=monthly)
-    assert rows_of(latest) == [("E", "June", 5.0)]
+
+
+@pytest.mark.parametrize("last_day, full", [(1, "c17"), (29, "c17"), (30, "c15")])
+def test_last_full_month(spark, last_day, full):
+    tables = star(spark, [((2024, 5, 20), 17), ((2024, 6, last_day, 23, 59, 59), 15)])
+    assert rows_of(reports.top_categories(*tables, month="last_full")) == [("E", full, float(full[1:]))]
+    assert rows_of(reports.top_categories(*tables)) == [("E", "c15", 15.0)]
+
+
+def test_months_of_reports_without_full_months_or_orders(spark):
+    tables = star(spark, [((2024, 6, 3), 15)])
+    assert reports.report_month(tables[0], "last_full") is None
+    assert rows_of(reports.top_categories(*tables, month="last_full")) == []
+    none = tables[0].limit(0)
+    assert reports.report_month(none) is None
+    assert rows_of(reports.top_categories(none, *tables[1:])) == []
+    with pytest.raises(ValueError):
+        reports.report_month(none, "first")
 
 
 def test_five_categories_and_ties_by_name(spark):
-    rows = [("202406", "E", f"c{i}", 1.0, 1, date(2024, 6, 30)) for i in range(7)]
-    monthly = spark.createDataFrame(rows, GOLD)
-    latest = reports.run(reports.TOP_CATEGORIES_LATEST, gold_monthly_region_category=monthly)
-    assert ordered(rows_of(latest)) == [("E", f"c{i}", 1.0) for i in range(5)]
+    tables = star(spark, [((2024, 6, 30), product) for product in range(7)])
+    assert rows_of(reports.top_categories(*tables)) == [("E", f"c{i}", 1.0) for i in range(5)]
+
+
+def test_reports_touch_no_view(spark):
+    spark.sql("SELECT 1 AS kept").createOrReplaceTempView("gold_moving_rev")
+    frame = spark.sql("SELECT '202401' AS yyyymm, 1.0D AS revenue, 1.0D AS rev_ma_3m")
+    assert rows_of(reports.run(reports.REVENUE_TREND, gold_moving_rev=frame)) == [("202401", 1.0, 1.0)]
+    assert spark.table("gold_moving_rev").columns == ["kept"]
+    spark.catalog.dropTempView("gold_moving_rev")
 
 
 def test_channel_mix_of_a_zero_month(spark):
@@ -180,16 +203,17 @@ def test_salted_totals_equal_plain_totals(spark, hard_folder):
         F.sum("quantity").alias("units"),
     )
     for salts in (1, 5, 16):
-        assert ordered(rows_of(salted_revenue(silver, keys, salts))) == ordered(rows_of(plain))
+        assert ordered(rows_of(salted_revenue(silver, keys, ["customer_id", "product_id"], salts))) == ordered(rows_of(plain))
 
 
-def test_salted_totals_beyond_whole_cents(spark):
+def test_salted_totals_of_any_size(spark):
     silver = spark.createDataFrame(
-        [("E", 8e16, 1, i) for i in range(20)] + [("A", float("nan"), 1, 0), ("N", None, 1, 0)],
+        [("E", 8e16, 1, i) for i in range(20)] + [("A", float("nan"), 1, 0), ("N", None, 1, 0)]
+        + [("C", 0.004, 1, i) for i in range(1000)],
         "region STRING, total_amount DOUBLE, quantity INT, line INT",
     )
-    totals = {row[0]: row[1] for row in rows_of(salted_revenue(silver, ["region"]))}
-    assert totals["E"] == pytest.approx(1.6e18)
+    totals = {row[0]: row[1] for row in rows_of(salted_revenue(silver, ["region"], ["line"]))}
+    assert totals["E"] == 1.6e18 and totals["C"] == 4.0
     assert totals["A"] != totals["A"]
     assert totals["N"] is None
 
@@ -223,7 +247,7 @@ def test_clean_and_rejects(spark):
     raw = spark.createDataFrame(RAW, ", ".join(f"{c} STRING" for c in driver.BRONZE_COLUMNS))
     orders = clean(raw, ORDERS_BRONZE)
     assert orders.schema.simpleString() == (
-        "struct<order_id:string,order_ts:timestamp,customer_id:int,product_id:int,quantity:int,channel:string>"
+        "struct<order_id:string,order_ts:timestamp,customer_id:bigint,product_id:bigint,quantity:int,channel:string>"
     )
     customers = spark.createDataFrame([(1,)], "customer_id INT")
     products = spark.createDataFrame([(1,)], "product_id INT")
@@ -242,3 +266,32 @@ def test_clean_and_rejects(spark):
     assert failures == {
         "order_id": 0, "order_ts": 1, "customer_id": 1, "product_id": 0, "quantity": 1, "channel": 0,
     }
+
+
+def test_orders_are_split_by_the_rules(spark):
+    raw = spark.createDataFrame(RAW, ", ".join(f"{c} STRING" for c in driver.BRONZE_COLUMNS))
+    orders = clean(raw, ORDERS_BRONZE)
+    customers = spark.createDataFrame([(1,)], "customer_id BIGINT")
+    products = spark.createDataFrame([(1,)], "product_id BIGINT")
+    accepted, rejected = split_orders(orders, customers, products)
+    assert rows_of(accepted, ["order_id"]) == [("ORD-1",)] and accepted.columns == orders.columns
+    broken = dict(rows_of(rejected, ["order_id", "rules"]))
+    assert broken["ORD-2"] == ["non_positive_quantity", "null_customer_id", "null_order_ts"]
+    assert broken["ORD-3"] == ["non_positive_quantity", "null_product_id", "orphan_customer"]
+    assert broken[None] == ["null_order_id", "null_quantity", "orphan_product"]
+
+
+def test_duplicate_keys_are_found(spark):
+    customers = spark.createDataFrame([(1,), (2,), (2,), (None,), (None,)], "customer_id BIGINT")
+    assert rows_of(duplicate_keys(customers, "customer_id")) == [(2, 2)]
+
+
+def test_an_inner_join_needs_both_dimensions(spark):
+    orders = spark.createDataFrame([], ORDERS_BRONZE)
+    with pytest.raises(ValueError):
+        enrich(orders, how="inner")
+
+
+def test_null_customers_keep_their_rank(spark):
+    spend = spark.createDataFrame([("E", None, 5.0), ("E", 1, 5.0), ("E", 2, 1.0)], SPEND)
+    assert ordered(rows_of(gold.top_customers(spend, 1))) == [("E", None, 5.0, 1), ("E", 1, 5.0, 1)]

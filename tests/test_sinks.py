@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 import __spark_entry__ as driver
 from tillroll import schemas
 from tillroll.operators import gold
-from tillroll.plans.layers import Layers, layers_of, register_views, write_layers
-from tillroll.sinks.scratch import materialise, scratch_path
+from tillroll.plans.layers import Layers, build_layers, layers_of, register_views, write_layers
+from tillroll.sinks.scratch import materialise, scratch, scratch_path
 from tillroll.sinks.tables import (
     append_bronze,
     count_rows,
+    rebuild_months,
     reused,
     sample,
     write_bucketed,
@@ -39,15 +40,36 @@ def test_months_stay_strings_and_null_regions_stay_null(spark, tmp_path):
     assert back.filter((F.col("yyyymm") == "202406") & F.col("region").isNull()).count() == 1
 
 
+def read_months(spark, path, schema):
+    return ordered(rows_of(read_silver(spark, path, schema), ["yyyymm", "region", "total_amount"]))
+
+
 def test_one_month_is_replaced_and_the_others_survive(spark, tmp_path):
     path = str(tmp_path / "silver")
     both = silver_rows(spark, ("'202405'", "'Europe'", 1), ("'202406'", "'Europe'", 2))
     write_silver(both, path)
-    write_silver(silver_rows(spark, ("'202406'", "'Europe'", 9)), path, only_these_months=True)
-    read = lambda: ordered(rows_of(read_silver(spark, path, both.schema), ["yyyymm", "total_amount"]))
-    assert read() == [("202405", 1.0), ("202406", 9.0)]
+    rebuild_months(silver_rows(spark, ("'202406'", "'Europe'", 9), ("'202407'", "'Asia'", 7)), path, ["202406"])
+    assert read_months(spark, path, both.schema) == [("202405", "Europe", 1.0), ("202406", "Europe", 9.0)]
     write_silver(silver_rows(spark, ("'202406'", "'Europe'", 3)), path)
-    assert read() == [("202406", 3.0)]
+    assert read_months(spark, path, both.schema) == [("202406", "Europe", 3.0)]
+
+
+def test_a_moved_order_leaves_its_region(spark, tmp_path):
+    path = str(tmp_path / "silver")
+    before = silver_rows(spark, ("'202406'", "'Europe'", 1), ("'202406'", "NULL", 2))
+    write_silver(before, path)
+    rebuild_months(silver_rows(spark, ("'202406'", "'Asia'", 1), ("'202406'", "NULL", 2)), path, ["202406"])
+    assert read_months(spark, path, before.schema) == [("202406", None, 2.0), ("202406", "Asia", 1.0)]
+
+
+def test_an_emptied_month_is_empty(spark, tmp_path):
+    path = str(tmp_path / "silver")
+    both = silver_rows(spark, ("'202405'", "'Europe'", 1), ("'202406'", "'Europe'", 2))
+    write_silver(both, path)
+    rebuild_months(both.filter("yyyymm = '202405'"), path, ["202405", "202406"])
+    assert read_months(spark, path, both.schema) == [("202405", "Europe", 1.0)]
+    with pytest.raises(ValueError):
+        rebuild_months(both, path, ["../x"])
 
 
 def test_few_files_per_folder(spark, tmp_path, hard_folder):
@@ -70,15 +92,28 @@ def test_gold_in_a_number_of_files(spark, tmp_path):
 
 
 def test_dry_run_writes_nothing(spark, tmp_path):
-    layers = layers_of(driver.silver_left(spark, f"{DATA}/sf0.001"))
+    sources = driver.sales
+    folder = f"{DATA}/sf0.001"
+    silver = driver.silver_left(spark, folder)
+    before = set(os.listdir(spark.conf.get("spark.checkpoint.dir"))) if os.path.isdir(spark.conf.get("spark.checkpoint.dir")) else set()
+    layers = build_layers(
+        sources.orders(spark, folder).select(driver.BRONZE_COLUMNS),
+        sources.customers(spark, folder),
+        sources.products(spark, folder),
+    )
     base = str(tmp_path / "out")
     targets = write_layers(layers, base)
     assert [os.path.basename(t) for t in targets] == [
         "silver_orders", "gold_monthly_region_category", "gold_top_customers", "gold_moving_rev",
     ]
     assert not os.path.exists(base)
+    after = set(os.listdir(spark.conf.get("spark.checkpoint.dir"))) if os.path.isdir(spark.conf.get("spark.checkpoint.dir")) else set()
+    assert after == before
     assert write_layers(layers, base, dry_run=False) == targets
     assert all(os.path.isdir(target) for target in targets)
+    back = read_silver(spark, f"{base}/silver_orders", silver.schema)
+    assert len(silver.columns) == 15
+    assert ordered(rows_of(back, silver.columns)) == ordered(rows_of(silver))
 
 
 def test_views(spark):
@@ -114,9 +149,6 @@ def clean_orders(spark):
 
     return generate.orders(
         generate.sequence(spark, "order_number", 50), 10, 10, as_of="2024-06-30", seed=1
-    ).selectExpr(
-        "order_id", "order_ts", "CAST(customer_id AS INT) AS customer_id",
-        "CAST(product_id AS INT) AS product_id", "quantity", "channel",
     )
 
 
@@ -127,9 +159,9 @@ def test_star_readers_declare_types(spark, tmp_path):
     spark.sql(
         "SELECT 1 AS product_id, 'a' AS category, 'b' AS subcategory, 'c' AS product_name, 2.5D AS base_price"
     ).write.parquet(str(tmp_path / "p"))
-    assert read_customers(spark, str(tmp_path / "c")).dtypes == [
-        (f.name, f.dataType.simpleString()) for f in schemas.DIM_CUSTOMERS
-    ]
+    customers = read_customers(spark, str(tmp_path / "c"))
+    assert customers.dtypes == [(f.name, f.dataType.simpleString()) for f in schemas.DIM_CUSTOMERS]
+    assert rows_of(customers) == [(1, "a", 20, "Other", "x", "y")], "keys stored as INT are read as BIGINT"
     products = read_products(spark, str(tmp_path / "p"))
     assert rows_of(products) == [(1, "a", "b", "c", 2.5)]
 
@@ -138,7 +170,7 @@ def test_gold_schemas(spark, hard_folder):
     layers = layers_of(driver.silver_left(spark, hard_folder))
     declared = {
         "gold_monthly_region_category": schemas.GOLD_MONTHLY_REGION_CATEGORY,
-        "gold_top_customers": schemas.GOLD_TOP_CUSTOMERS.replace("customer_id INT", "customer_id BIGINT"),
+        "gold_top_customers": schemas.GOLD_TOP_CUSTOMERS,
         "gold_moving_rev": schemas.GOLD_MOVING_REV,
     }
     for name, frame in layers.gold().items():
@@ -167,18 +199,31 @@ def test_scratch_is_the_shared_folder(spark):
     assert frame.count() == 5 and frame.inputFiles()[0].startswith(f"file://{shared}")
 
 
+def test_scratch_leaves_nothing_behind(spark, tmp_path):
+    folder = str(tmp_path / "own")
+    with scratch(spark, folder) as path:
+        frame = materialise(spark.range(5), "five", path)
+        assert frame.count() == 5 and frame.inputFiles()[0].startswith(f"file://{folder}")
+    assert os.listdir(folder) == []
+    with pytest.raises(ZeroDivisionError), scratch(spark, folder) as path:
+        materialise(spark.range(5), "five", path)
+        raise ZeroDivisionError
+    assert os.listdir(folder) == []
+
+
 class Elsewhere:
-    """A session of a cluster that names no shared folder."""
+    """A session that names no shared folder."""
 
     class conf:
         @staticmethod
         def get(name, default=None):
-            return {"spark.master": "spark://host:7077"}.get(name, default)
+            return {"spark.master": "local[8]"}.get(name, default)
 
 
-def test_no_local_scratch_on_a_cluster():
+def test_no_scratch_without_a_named_folder():
     with pytest.raises(RuntimeError):
         scratch_path(Elsewhere, "x")
+    assert scratch_path(Elsewhere, "x", "/shared").startswith("/shared/")
 
 
 def test_rebuilt_silver_equals_silver(spark, hard_folder, tmp_path):

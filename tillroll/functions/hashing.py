@@ -1,17 +1,22 @@
 """Seeded draws that depend on a row's key alone.
 
 ``rand(seed)`` changes with the partitioning and with task retries; a hash of
-the key and a salt gives every row the same draw on any cluster.
+the key and a salt gives every row the same draw on any cluster. The hash is
+MD5, which every SQL engine has, so the draws can be checked elsewhere.
 """
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Hexadecimal digits of the hash that make the drawn number.
+DIGITS = 15
+
 
 def uniform_int(low: int, high: int, seed: int, salt: str, *keys: Column) -> Column:
     """A whole number from ``low`` to ``high``, both included."""
-    drawn = F.xxhash64(*keys, F.lit(seed), F.lit(salt))
-    return F.pmod(drawn, F.lit(high - low + 1).cast("bigint")) + F.lit(low)
+    text = F.concat_ws("|", *[key.cast("string") for key in keys], F.lit(str(seed)), F.lit(salt))
+    drawn = F.conv(F.substring(F.md5(text), 1, DIGITS), 16, 10).cast("bigint")
+    return drawn % F.lit(high - low + 1).cast("bigint") + F.lit(low)
 
 
 def pick(values: list[str], seed: int, salt: str, *keys: Column) -> Column:

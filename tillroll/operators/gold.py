@@ -3,19 +3,16 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.functions.calendar import month_index
+from tillroll.functions.calendar import month_index, month_key
 from tillroll.functions.money import money_sum
 from tillroll.operators.lookup import lookup_join
 
 
-def monthly_region_category(silver: DataFrame, with_last_date: bool = False) -> DataFrame:
-    """Revenue and units per month, region and category, optionally with the
-    last order date, which the last-full-month report reads."""
-    last_date = [F.max("order_date").alias("last_order_date")] if with_last_date else []
+def monthly_region_category(silver: DataFrame) -> DataFrame:
+    """Revenue and units per month, region and category."""
     return silver.groupBy("yyyymm", "region", "category").agg(
         money_sum(F.col("total_amount")).alias("revenue"),
         F.sum("quantity").alias("units"),
-        *last_date,
     )
 
 
@@ -31,7 +28,12 @@ def customer_spend(
     """
     spent = money_sum(F.col("total_amount")).alias("total_spent")
     if customers is None:
-        return lines.groupBy("region", "customer_id").agg(spent)
+        # Lines joined on the customer are partitioned by it, and a grouping by the same column would be tied to that
+        # partitioning, hot customer and all. Under another name it is summed in every task first and then shuffled,
+        # so that adaptive execution may split the join.
+        key = F.struct("customer_id").alias("key")
+        totals = lines.groupBy("region", key).agg(spent)
+        return totals.select("region", F.col("key.customer_id").alias("customer_id"), "total_spent")
     totals = lines.groupBy("customer_id").agg(spent)
     regions = customers.select("customer_id", "region")
     return lookup_join(totals, {"customer_id": regions}, how).select(
@@ -44,9 +46,9 @@ def top_customers(spend: DataFrame, n: int, salts: int = 64) -> DataFrame:
     rank: equal spends share a rank and are all kept; a NULL spend sorts last.
 
     Each region is split by a hash of the customer. Within a split only spends
-    that can still be among the highest are kept, and the ranks come from the
-    distinct spends left, at most ``n`` a split. So no task ever holds a region,
-    nor all the customers that are tied in one.
+    that can still be among the highest are kept, and tied customers become one
+    row, so the ranks come from at most ``n`` rows a split. No task ever holds a
+    region; a tie is spread over the splits, and ``salts`` bounds each part.
     """
     highest = F.desc("total_spent")
     split = F.pmod(F.xxhash64("customer_id"), F.lit(salts))
@@ -55,28 +57,16 @@ def top_customers(spend: DataFrame, n: int, salts: int = 64) -> DataFrame:
     contenders = (
         spend.withColumn("salt", split).withColumn("place", place).filter(F.col("place") <= n)
     )
-    # Grouping and distinct keep to the partitioning they find and need no
-    # shuffle. Counting customers, a test that always holds, makes this use of
-    # the contenders read the same columns as the join, so that Spark computes
-    # and shuffles them once for both.
-    ranks = (
-        contenders.groupBy("region", "salt", "total_spent")
-        .agg(F.count("customer_id").alias("customers"))
-        .filter(F.col("customers") >= 0)
-        .withColumn("rank", rank)
+    # Grouping keeps to the partitioning of the splits and needs no shuffle.
+    tied = contenders.groupBy("region", "salt", "total_spent").agg(
+        F.collect_list(F.struct("customer_id")).alias("tied")
+    )
+    return (
+        tied.withColumn("rank", rank)
         .filter(F.col("rank") <= n)
-        .select(
-            F.col("region").alias("ranked_region"), F.col("total_spent").alias("ranked_spent"), "rank"
-        )
-        .distinct()
+        .select("region", F.explode("tied").alias("customer"), "total_spent", "rank")
+        .select("region", "customer.customer_id", "total_spent", "rank")
     )
-    # No hint: the ranks come out of a shuffle, whose size adaptive execution
-    # knows when it decides whether to broadcast them.
-    return contenders.join(
-        ranks,
-        F.col("region").eqNullSafe(F.col("ranked_region"))
-        & F.col("total_spent").eqNullSafe(F.col("ranked_spent")),
-    ).select("region", "customer_id", "total_spent", "rank")
 
 
 def monthly_total(silver: DataFrame) -> DataFrame:
@@ -97,8 +87,9 @@ def moving_average(monthly: DataFrame, months: int = 3, calendar: bool = False)
     return monthly.withColumn(f"rev_ma_{months}m", F.avg("revenue").over(frame))
 
 
-def latest_month(frame: DataFrame) -> DataFrame:
-    return frame.agg(F.max("yyyymm").alias("yyyymm"))
+def latest_month(orders: DataFrame) -> DataFrame:
+    """The month of the latest ``order_ts``, formatted once and not for every line."""
+    return orders.agg(F.max("order_ts").alias("ts")).select(month_key(F.col("ts")).alias("yyyymm"))
 
 
 def channel_mix(silver: DataFrame) -> DataFrame:

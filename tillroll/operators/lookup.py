@@ -1,4 +1,4 @@
-"""Star joins whose strategy is decided by a measured size."""
+"""Star joins whose strategy is decided by a known or measured size."""
 
 import re
 
@@ -9,6 +9,12 @@ from pyspark.sql import types as T
 # size measured here is that of the hash table in memory, several times as much.
 EXPANSION = 8
 
+#: No measured lookup beyond this is broadcast, whatever the session's threshold.
+MOST_BROADCAST = 1 << 30
+
+_MEASURED: dict[tuple[str, int], int] = {}
+_REMEMBERED = 256
+
 UNITS = {"": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
 
 
@@ -35,25 +41,47 @@ def _row_bytes(schema: T.StructType) -> str:
     return f"CAST({fixed} AS BIGINT){texts}"
 
 
+def source_bytes(lookup: DataFrame) -> int:
+    """What Spark knows, without a job, of the size of all that ``lookup`` is read from."""
+    leaves = lookup._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
 def lookup_bytes(lookup: DataFrame) -> int:
     """Size of the frame as a broadcast, from one small aggregation job."""
     rows = lookup.selectExpr(f"sum({_row_bytes(lookup.schema)}) AS bytes").collect()
     return rows[0]["bytes"] or 0
 
 
-def lookup_strategy(lookup: DataFrame) -> str | None:
-    """How to join ``lookup``, from its measured size and the session's limits.
+def remembered_bytes(lookup: DataFrame) -> int:
+    """``lookup_bytes``, measured once for a plan in a session."""
+    key = (lookup.sparkSession.sparkContext.applicationId, lookup.semanticHash())
+    if key not in _MEASURED:
+        if len(_MEASURED) >= _REMEMBERED:
+            _MEASURED.clear()
+        _MEASURED[key] = lookup_bytes(lookup)
+    return _MEASURED[key]
+
 
-    ``broadcast`` up to the broadcast threshold, times what data grows by when it
-    is read into memory (never if the threshold is -1); ``shuffle_hash`` while the hash
-    tables of its shuffle partitions stay below the advised partition size,
-    which spares sorting the facts; beyond that no hint, so that Spark merges
-    sorted partitions, which can spill.
+def lookup_strategy(lookup: DataFrame) -> str | None:
+    """How to join ``lookup``, from its size and the session's limits.
+
+    A lookup holds one row per key, so one whose sources are together below the
+    broadcast threshold is small, and ``broadcast`` without a job. Otherwise it is
+    measured: ``broadcast`` up to the threshold times what data grows by when it is
+    read into memory (never if the threshold is -1, nor beyond ``MOST_BROADCAST``);
+    ``shuffle_hash`` while the hash tables of its shuffle partitions stay below the
+    advised partition size, which spares sorting the facts; beyond that no hint,
+    so that Spark merges sorted partitions, which can spill.
     """
     spark = lookup.sparkSession
-    size = lookup_bytes(lookup)
     threshold = bytes_setting(spark, "spark.sql.autoBroadcastJoinThreshold")
-    if size <= threshold * EXPANSION:
+    limit = min(threshold * EXPANSION, MOST_BROADCAST)
+    _row_bytes(lookup.schema)  # a nested column has no size, and is refused here
+    if source_bytes(lookup) <= min(threshold, MOST_BROADCAST):
+        return "broadcast"
+    size = remembered_bytes(lookup)
+    if size <= limit:
         return "broadcast"
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     advised = bytes_setting(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes")

@@ -35,11 +35,13 @@ def enrich(
     """Orders with dimension columns, line amount and calendar columns.
 
     ``how="left"`` keeps orders without a customer or product (their dimension
-    columns are NULL); ``how="inner"`` drops them. A dimension may be left out
-    where nothing downstream reads it. Since dimensions hold one row per key, a
-    left join that is left out changes no other column and saves a join over
-    the whole fact table.
+    columns are NULL); ``how="inner"`` drops them. In a left join a dimension may
+    be left out where nothing downstream reads it: since dimensions hold one row
+    per key, that changes no other column and saves a join over the whole fact
+    table. An inner join needs both.
     """
+    if how != "left" and (customers is None or products is None):
+        raise ValueError("only a left join may leave a dimension out")
     lookups = {}
     added = []
     if customers is not None:

@@ -8,14 +8,17 @@ from pyspark.sql import functions as F
 from tillroll.functions.money import merged_money, partial_money
 
 
-def salted_revenue(silver: DataFrame, keys: Sequence[str], salts: int = 5) -> DataFrame:
+def salted_revenue(
+    silver: DataFrame, keys: Sequence[str], row_key: Sequence[str], salts: int = 5
+) -> DataFrame:
     """Revenue and units per ``keys``, first per key and salt, then per key.
 
-    The salt is a hash of the row, so a retried task draws it again. Spark sums
-    within each task before it shuffles, so copies of one row, which share a
-    salt, reach the second task as one row per task and not one by one.
+    The salt is a hash of ``row_key``, columns that vary within a key, so a
+    retried task draws it again and no other column is read for it. Spark sums
+    within each task before it shuffles, so rows that share a salt reach the
+    second task as one row per task and not one by one.
     """
-    salt = F.pmod(F.xxhash64(*silver.columns), F.lit(salts))
+    salt = F.pmod(F.xxhash64(*row_key), F.lit(salts))
     per_salt = silver.groupBy(*keys, salt.alias("salt")).agg(
         *partial_money(F.col("total_amount"), "amount"), F.sum("quantity").alias("units")
     )

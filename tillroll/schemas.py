@@ -2,11 +2,11 @@
 
 from pyspark.sql import types as T
 
-# The keys of a star schema stored by its owner are INT. Frames mapped from
-# other tables may carry BIGINT keys; no operator depends on the width.
+# Keys are BIGINT everywhere: large tables hold more keys than an INT can number. Parquet files whose owner stored them
+# as INT are read all the same.
 DIM_CUSTOMERS = T.StructType(
     [
-        T.StructField("customer_id", T.IntegerType(), False),
+        T.StructField("customer_id", T.LongType(), False),
         T.StructField("customer_name", T.StringType()),
         T.StructField("age", T.IntegerType()),
         T.StructField("gender", T.StringType()),
@@ -16,11 +16,11 @@ DIM_CUSTOMERS = T.StructType(
 )
 
 DIM_PRODUCTS = (
-    "product_id INT, category STRING, subcategory STRING, product_name STRING, base_price DOUBLE"
+    "product_id BIGINT, category STRING, subcategory STRING, product_name STRING, base_price DOUBLE"
 )
 
 ORDERS_BRONZE = (
-    "order_id STRING, order_ts TIMESTAMP, customer_id INT, product_id INT, quantity INT, channel STRING"
+    "order_id STRING, order_ts TIMESTAMP, customer_id BIGINT, product_id BIGINT, quantity INT, channel STRING"
 )
 
 ORDERS_SILVER = (
@@ -32,6 +32,6 @@ GOLD_MONTHLY_REGION_CATEGORY = (
     "yyyymm STRING, region STRING, category STRING, revenue DOUBLE, units BIGINT"
 )
 
-GOLD_TOP_CUSTOMERS = "region STRING, customer_id INT, total_spent DOUBLE, rank INT"
+GOLD_TOP_CUSTOMERS = "region STRING, customer_id BIGINT, total_spent DOUBLE, rank INT"
 
 GOLD_MOVING_REV = "yyyymm STRING, revenue DOUBLE, rev_ma_3m DOUBLE"

@@ -1,6 +1,7 @@
 """Parquet tables: bronze by append, silver by month and region, gold plain."""
 
-from collections.abc import Iterator
+import re
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
@@ -16,28 +17,39 @@ def append_bronze(orders: DataFrame, path: str) -> None:
     orders.write.mode("append").parquet(path)
 
 
-def write_silver(
-    silver: DataFrame,
-    path: str,
-    partitions: int | None = None,
-    only_these_months: bool = False,
-) -> None:
+def write_silver(silver: DataFrame, path: str, partitions: int | None = None) -> None:
     """Replace silver, one folder per month and region.
 
     Rows are brought together by folder first, so each folder gets few files.
-    With ``only_these_months`` the folders in ``silver`` are replaced and all
-    others stay; without, the whole table is.
     """
-    overwrite = "dynamic" if only_these_months else "static"
     (
         redistribute(silver, partitions, SILVER_PARTITIONS)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", overwrite)
+        .option("partitionOverwriteMode", "static")
         .partitionBy(*SILVER_PARTITIONS)
         .parquet(path)
     )
 
 
+def rebuild_months(silver: DataFrame, path: str, months: Sequence[str]) -> None:
+    """Replace whole months of a table that ``write_silver`` wrote; all others stay.
+
+    Each month's folder is replaced with all regions in it, so an order that has
+    moved to another region leaves none behind, and a region or month without
+    rows in ``silver`` is empty afterwards. Rows of other months are not written.
+    """
+    for month in months:
+        if not re.fullmatch(r"\d{6,}", month):
+            raise ValueError(f"{month!r} is no month key")
+        (
+            redistribute(silver.filter(F.col("yyyymm") == month).drop("yyyymm"), keys=("region",))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .partitionBy("region")
+            .parquet(f"{path}/yyyymm={month}")
+        )
+
+
 def write_gold(gold: DataFrame, path: str, files: int | None = None) -> None:
     """Replace a gold table, in at most ``files`` files if given."""
     frame = gold if files is None else gold.coalesce(files)
