@@ -278,11 +278,22 @@ def _shard(texts: pa.Table, side: pa.Table) -> Shard:
     return Shard(ids.to_numpy(), rows, np.concatenate(copies) if copies else np.zeros(0, np.int64))
 
 
-def _elsewhere(side: pa.Table) -> np.ndarray:
-    found = [np.frombuffer(row["blob"], np.uint64) for row in _answers(side, _SEEDS)]
+def _elsewhere(shard: Shard, side: pa.Table, groups: int) -> np.ndarray:
+    """The shard's seeds (sorted) that another shard has, up to chance agreement of 32 bits."""
+    answers = {row["part"]: np.frombuffer(row["blob"], np.uint32) for row in _answers(side, _SEEDS)}
+    found = [
+        own[_among(own.astype(np.uint32), answers[part])]
+        for part, own in enumerate(_parts(shard.seeds(), groups))
+        if len(own)
+    ]
     return np.sort(np.concatenate(found)) if found else np.zeros(0, np.uint64)
 
 
+def _low_bits(parts: list[np.ndarray]) -> list[np.ndarray]:
+    """Seeds only select text, so 32 bits beside the part are enough; a chance agreement selects a little more."""
+    return [np.sort(part.astype(np.uint32)) for part in parts]
+
+
 _SENT = "part INT, shard INT, blob BINARY"
 _SIDE = "shard INT, kind INT, part INT, blob BINARY"
 
@@ -309,14 +320,14 @@ def _side(shards, kind, part, blobs) -> pa.Table:
     )
 
 
-def _runs_of(table: pa.Table) -> tuple[list[int], list[np.ndarray]]:
+def _runs_of(table: pa.Table, kind) -> tuple[list[int], list[np.ndarray]]:
     rows = sorted(table.select(["shard", "blob"]).to_pylist(), key=lambda row: row["shard"])
-    return [row["shard"] for row in rows], [np.frombuffer(row["blob"], np.uint64) for row in rows]
+    return [row["shard"] for row in rows], [np.frombuffer(row["blob"], kind) for row in rows]
 
 
 def _repeated_seeds(table: pa.Table) -> pa.Table:
     """For each shard its seeds that another shard has too."""
-    shards, runs = _runs_of(table)
+    shards, runs = _runs_of(table, np.uint32)
     values = np.sort(np.concatenate(runs))
     values = distinct(values[1:][values[1:] == values[:-1]])
     return _side(shards, _SEEDS, table.column("part")[0].as_py(), [run[_among(run, values)].tobytes() for run in runs])
@@ -327,7 +338,7 @@ def _lower_bits(table: pa.Table) -> pa.Table:
     part = table.column("part")[0].as_py()
     if part < 0:
         return _side(table.column("shard").to_pylist(), _LOCAL, part, table.column("blob").to_pylist())
-    shards, runs = _runs_of(table)
+    shards, runs = _runs_of(table, np.uint64)
     merged = np.concatenate(runs)
     order = np.argsort(merged, kind="stable")  # lower shards first
     merged = merged[order]
@@ -384,17 +395,17 @@ def removed_spans(documents: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataF
 
     def ask_seeds(key, left, right):
         shard = key[0].as_py()
-        return _sent(shard, _parts(_shard(left, right).seeds(), groups))
+        return _sent(shard, _low_bits(_parts(_shard(left, right).seeds(), groups)))
 
     def ask_strings(key, left, right):
         shard, number = _shard(left, right), key[0].as_py()
-        shard.choose(_elsewhere(right))
+        shard.choose(_elsewhere(shard, right, groups))
         local = _side([number], _LOCAL, -1 - number, [np.packbits(shard.earlier_here()).tobytes()])
         return pa.concat_tables([_sent(number, _parts(shard.keys, groups)), local.select(["part", "shard", "blob"])])
 
     def mark(key, left, right):
         shard = _shard(left, right)
-        shard.choose(_elsewhere(right))
+        shard.choose(_elsewhere(shard, right, groups))
         local = np.frombuffer(_answers(right, _LOCAL)[0]["blob"], np.uint8)
         earlier = np.unpackbits(local, count=len(shard.at)).astype(bool)
         bits = {row["part"]: row["blob"] for row in _answers(right, _BITS)}
