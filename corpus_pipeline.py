@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.llm import decontamination, jaccard_join, lexicon, pseudonyms, quality
-from tillroll.llm.queries import PSEUDONYM_KEY, table
+from tillroll.llm.batches import with_small_batches
+from tillroll.llm.queries import PSEUDONYM_KEY, documents_of, table
 from tillroll.sinks.scratch import materialise
 
 
@@ -47,12 +48,17 @@ def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     )
 
 
+def with_bounded_batches(stage):
+    """``stage`` in a session whose Arrow batches are sized for whole texts."""
+    return lambda spark, docs, sf_dir: stage(with_small_batches(spark), docs, sf_dir)
+
+
 STAGES = [
-    ("quality rules", quality_rules),
-    ("n-gram Jaccard join", near_duplicates),
-    ("benchmark decontamination", benchmark_decontamination),
-    ("PII", pii_pseudonyms),
-    ("BPE encoding and decoding", bpe_encoding),
+    ("quality rules", with_bounded_batches(quality_rules)),
+    ("n-gram Jaccard join", with_bounded_batches(near_duplicates)),
+    ("benchmark decontamination", with_bounded_batches(benchmark_decontamination)),
+    ("PII", with_bounded_batches(pii_pseudonyms)),
+    ("BPE encoding and decoding", with_bounded_batches(bpe_encoding)),
 ]
 
 #: Outlier estimates, connected components and merges are beyond SQL; tests hold the stages against brute force.
@@ -60,7 +66,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = documents_of(spark, sf_dir)
     for name, stage in STAGES:
         docs = materialise(stage(spark, docs, sf_dir), name.replace(" ", "_"))
     return docs

@@ -5,8 +5,20 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 PIECE_BYTES = 1 << 21
+#: Rows in an Arrow batch. Texts are long, and Spark's default of 10,000 rows is sized for narrow rows.
+BATCH_ROWS = 1000
+
+
+def with_small_batches(spark: SparkSession) -> SparkSession:
+    """``spark`` with no more than ``BATCH_ROWS`` rows in the Arrow batches of whole texts, which bounds what executors
+    hold outside their heap. A session that sets fewer keeps its setting."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+    return spark
 
 
 def text_lengths(column: pa.Array) -> np.ndarray:

@@ -3,54 +3,59 @@
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.llm import backoff_lm, chaining, decontamination, jaccard_join, language_id, lexicon, pseudonyms, quality, suffix_dedup, token_counts
+from tillroll.llm.batches import with_small_batches
 
 #: The key of the registered queries; a deployment passes its own secret.
 PSEUDONYM_KEY = b"tillroll demonstration key"
 
 
+def documents_of(spark: SparkSession, folder: str) -> DataFrame:
+    return table(with_small_batches(spark), folder, "documents")
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return token_counts.token_counts(table(spark, folder, "documents"))
+    return token_counts.token_counts(documents_of(spark, folder))
 
 
 def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
-    return language_id.held_out_predictions(table(spark, folder, "documents"))
+    return language_id.held_out_predictions(documents_of(spark, folder))
 
 
 def op3_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return suffix_dedup.digest(suffix_dedup.removed_spans(table(spark, folder, "documents")))
+    return suffix_dedup.digest(suffix_dedup.removed_spans(documents_of(spark, folder)))
 
 
 def op4_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
-    return jaccard_join.near_duplicates(table(spark, folder, "documents"))
+    return jaccard_join.near_duplicates(documents_of(spark, folder))
 
 
 def op5_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
-    return backoff_lm.held_out_scores(table(spark, folder, "documents"))
+    return backoff_lm.held_out_scores(documents_of(spark, folder))
 
 
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.verdicts(table(spark, folder, "documents"))
+    return quality.verdicts(documents_of(spark, folder))
 
 
 def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return chaining.shared_passages(table(spark, folder, "documents"))
+    return chaining.shared_passages(documents_of(spark, folder))
 
 
 def op8_bpe_encoding(spark: SparkSession, folder: str) -> DataFrame:
-    return lexicon.digest(lexicon.round_trip(table(spark, folder, "documents")))
+    return lexicon.digest(lexicon.round_trip(documents_of(spark, folder)))
 
 
 def op9_pii_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
-    documents = table(spark, folder, "documents").select("doc_id", "text")
+    documents = documents_of(spark, folder).select("doc_id", "text")
     return pseudonyms.pseudonymise(documents, PSEUDONYM_KEY)
 
 
 def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
-    found = decontamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    found = decontamination.contamination(documents_of(spark, folder), table(spark, folder, "benchmark"))
     return decontamination.digest(found)
 
 
