@@ -1,6 +1,7 @@
 """What the physical plans must and must not contain."""
 
 import re
+import uuid
 
 import pytest
 from conftest import DATA, rows_of
@@ -167,9 +168,10 @@ def test_measured_size_is_never_below_the_text(spark):
 
 def jobs_of(spark, run):
     """Jobs that building something starts."""
-    spark.sparkContext.setJobGroup("counted", "counted")
+    group = uuid.uuid4().hex
+    spark.sparkContext.setJobGroup(group, "counted")
     run()
-    found = spark.sparkContext.statusTracker().getJobIdsForGroup("counted")
+    found = spark.sparkContext.statusTracker().getJobIdsForGroup(group)
     spark.sparkContext.setJobGroup("others", "others")
     return len(found)
 
