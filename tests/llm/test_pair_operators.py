@@ -181,6 +181,37 @@ def test_shared_passages_are_found_and_others_are_not(documents_from):
     assert chaining.shared_passages(documents_from([])).count() == 0
 
 
+def test_passages_whose_pieces_occur_in_different_earlier_documents_are_found(documents_from):
+    texts, wanted = [], {}
+
+    def surrounded(words):
+        texts.append(" ".join([passage(100 + len(texts), 20), *words, passage(200 + len(texts), 20)]))
+
+    for start, size, pieces in (
+        (3, 60, [(0, 38), (11, 50), (22, 60)]),
+        (5, 120, [(i, i + 38) for i in range(0, 101, 16)]),
+        (6, 60, [(0, 25), (19, 45), (39, 60)]),
+    ):
+        words = passage(start, size).split()
+        for begin, end in pieces:
+            surrounded(words[begin:end])
+        first = len(texts)
+        surrounded(words)
+        for begin, end in pieces:  # the pieces come between, so the last place of each seed is in them as well
+            surrounded(words[begin:end])
+        wanted[len(texts)] = (first, 20, 20 + size, 20, 20 + size, size)
+        surrounded(words)
+    again = passage(7, 15)
+    texts += [f"{again} {passage(8, 20)} {again} {passage(9, 20)}", f"{again} {passage(8, 20)} {passage(301, 9)}"] * 2
+    same = []
+    for shard_bytes in (500, 3_000, 1 << 20):
+        found = chaining.shared_passages(documents_from(texts), shard_bytes).collect()
+        same.append(sorted(map(tuple, found)))
+        assert same[-1] == same[0]
+        for doc, row in wanted.items():
+            assert row in [tuple(r)[1:7] for r in found if r["doc_id"] == doc]
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_chains_are_the_best(seed):
     draw = random.Random(seed)
