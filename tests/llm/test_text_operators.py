@@ -147,6 +147,30 @@ def test_pseudonyms_keep_the_format_and_turn_back(documents_from):
     assert [r[0] for r in sorted(map(tuple, frame.select("text", "doc_id").collect()), key=lambda r: r[1])][1:] == [invalid, *ODD_TEXTS]
 
 
+def test_values_beside_other_digits_and_long_values_are_replaced_whole():
+    key = pseudonyms.Pseudonyms(b"k")
+    card, phone, iban = "4111 1111 1111 1111", "555-123-4567", "ES91 2100 0418 4502 0005 1332"
+    for text, counts, values in [
+        (f"{card} 12/26", {"card": 1}, [card]),
+        ("4111111111111111 737", {"card": 1}, ["4111111111111111"]),
+        (f"7 {card}", {"card": 1}, [card]),
+        ("3 41111 11111 111111 9", {"card": 1}, ["41111 11111 111111"]),
+        (f"{phone} 555-987-6543", {"phone": 2}, [phone, "555-987-6543"]),
+        (f"room 204 {phone}", {"phone": 1}, [phone]),
+        (f"{iban} EUR", {"iban": 1}, [iban]),
+        (f"{iban} {card}", {"iban": 1, "card": 1}, [iban, card]),
+        ("password=" + "aB3" * 300, {"secret": 1}, ["aB3" * 20]),
+        ("token=abcdefgh.ijklmnop.qrstuvwx.", {"secret": 1}, ["abcdefgh", "ijklmnop", "qrstuvwx"]),
+        ("a" * 70 + ".b@mail.example.com", {"email": 1}, ["a" * 10]),
+    ]:
+        found = {}
+        other = key.text(text, found)
+        assert found == counts and len(other) == len(text), text
+        assert not any(value in other for value in values), text
+        assert key.text(other, {}, back=True) == text
+        assert [c for c in other if not c.isalnum()] == [c for c in text if not c.isalnum()]
+
+
 @pytest.mark.parametrize("size", [1, 2, 10, 97, 1000, 36524])
 def test_permutations_are_bijections(size):
     key = pseudonyms.Pseudonyms(b"k")

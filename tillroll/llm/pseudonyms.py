@@ -26,22 +26,35 @@ KINDS = ("card", "iban", "ssn", "phone", "ip", "date", "email", "secret")
 
 _FOUND = re.compile(
     r"""
-    (?P<email> (?<![A-Za-z0-9._%+-]) [A-Za-z0-9._%+-]{1,64} (?=@[A-Za-z0-9-]+\.[A-Za-z0-9]) )
+    (?P<email> (?<![A-Za-z0-9._%+-]) [A-Za-z0-9._%+-]++ (?=@[A-Za-z0-9-]+\.[A-Za-z0-9]) )
   | (?P<secret> (?<=AKIA)[A-Z0-9]{16}(?![A-Za-z0-9])
-      | (?<=password=)[A-Za-z0-9+/_-]{8,512} | (?<=password\ =\ ")[A-Za-z0-9+/_-]{8,512}
-      | (?<=token=)[A-Za-z0-9+/_-]{8,512}    | (?<=token\ =\ ")[A-Za-z0-9+/_-]{8,512}
-      | (?<=secret=)[A-Za-z0-9+/_-]{8,512}   | (?<=secret\ =\ ")[A-Za-z0-9+/_-]{8,512}
-      | (?<=key=)[A-Za-z0-9+/_-]{8,512}      | (?<=key\ =\ ")[A-Za-z0-9+/_-]{8,512} )
+      | (?: (?<=password=) | (?<=password\ =\ ") | (?<=token=) | (?<=token\ =\ ") | (?<=secret=) | (?<=secret\ =\ ")
+          | (?<=key=) | (?<=key\ =\ ") ) [A-Za-z0-9+/_-][A-Za-z0-9+/_.-]{6,}[A-Za-z0-9+/_-] )
   | (?P<iban> (?<![A-Za-z0-9]) [A-Z]{2}[0-9]{2} (?:\ ?[A-Z0-9]{4}){2,7} (?:\ ?[A-Z0-9]{1,3})? (?![A-Za-z0-9]) )
   | (?P<ip> (?<![0-9.]) [0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3} (?!\.?[0-9]) )
   | (?P<date> (?<![0-9.-]) (?: [0-9]{4}-[0-9]{2}-[0-9]{2} | [0-9]{2}\.[0-9]{2}\.[0-9]{4} | [0-9]{2}/[0-9]{2}/[0-9]{4} )
       (?![0-9]|[.-][0-9]) )
   | (?P<ssn> (?<![0-9-]) [0-9]{3}-[0-9]{2}-[0-9]{4} (?!-?[0-9]) )
-  | (?P<card> (?<![0-9]) [0-9](?:[ -]?[0-9]){12,18} (?![0-9]) )
   | (?P<phone> (?<![0-9]) (?:\([0-9]{3}\)\ ?|[0-9]{3}[ .-]) [0-9]{3}[ .-][0-9]{4} (?![0-9]) )
+  | (?P<card> (?<![0-9]) (?: [0-9]{13,19} | [0-9]{4}(?:[ -][0-9]{4}){3} | [0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5} ) (?![0-9]) )
     """,
     re.VERBOSE,
 )
+#: Digits that may be a card number in any other grouping, looked for where nothing else is.
+_GROUPED = re.compile(r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,}(?![0-9])")
+_TOKEN = re.compile(r"[^A-Za-z0-9]*[A-Za-z0-9]+")
+_IBAN_LENGTHS = dict(
+    (part[:2], int(part[2:]))
+    for part in (
+        "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29"
+        " ES24 FI18 FK18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HN28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20"
+        " LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29"
+        " PT25 QA29 RO24 RS22 RU33 SA24 SC31 SD18 SE24 SI19 SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20"
+        " YE30"
+    ).split()
+)
+#: Longer strings are moved in parts of this length, as a round moves no more than the 512 bits of its hash.
+_PART = 128
 _WORTH = re.compile(r"[0-9@]|password|token|secret|key")
 _FIRST_DAY = datetime.date(1900, 1, 1).toordinal()
 _DAYS = datetime.date(2099, 12, 31).toordinal() - _FIRST_DAY + 1
@@ -116,6 +129,8 @@ class Pseudonyms:
 
     def _iban(self, found, back):
         plain = found.replace(" ", "")
+        if len(plain) != _IBAN_LENGTHS.get(plain[:2], len(plain)):
+            return None
         if iban_check(plain[:2], plain[4:]) != plain[2:4]:
             return None
         alphabets = [_DIGITS if c.isdigit() else _LETTERS.upper() for c in plain[4:]]
@@ -159,6 +174,9 @@ class Pseudonyms:
         return self._in_classes(found, "secret", back)
 
     def _in_classes(self, found, name, back):
+        if len(found) > _PART:
+            parts = [found[i : i + _PART] for i in range(0, len(found), _PART)]
+            return "".join(self._in_classes(part, name, back) or part for part in parts)
         kept = [c for c in found if c.isalnum()]
         if not kept:
             return None
@@ -178,15 +196,45 @@ class Pseudonyms:
         if not _WORTH.search(text):
             return text
 
-        def swap(match):
-            kind = match.lastgroup
-            other = self.replace(kind, match[0], back)
-            if other is None:
-                return match[0]
-            counts[kind] = counts.get(kind, 0) + 1
-            return other
+        def swapped(kind, begin, ends):
+            for end in ends:
+                other = self.replace(kind, text[begin:end], back)
+                if other is not None:
+                    counts[kind] = counts.get(kind, 0) + 1
+                    return begin, end, other
+            return None
 
-        return _FOUND.sub(swap, text)
+        # What fails its check gives way to shorter spans, to other kinds and to what begins at its next token.
+        swaps, at = [], 0
+        while match := _FOUND.search(text, at):
+            kind, begin = match.lastgroup, match.start()
+            ends = [match.end()] if kind != "iban" else _ends(text, begin, match.end())
+            if swap := swapped(kind, begin, ends):
+                swaps.append(swap)
+            token = _TOKEN.match(text, begin)
+            at = swap[1] if swap else token.end() if token else match.end()
+        gaps = zip([0, *[end for _, end, _ in swaps]], [*[begin for begin, _, _ in swaps], len(text)])
+        for at, stop in list(gaps):
+            while match := _GROUPED.search(text, at, stop):
+                begin = match.start()
+                spans = [end for end in _ends(text, begin, min(match.end(), begin + 40)) if 13 <= _size(text, begin, end) <= 19]
+                if swap := swapped("card", begin, spans):
+                    swaps.append(swap)
+                at = swap[1] if swap else _TOKEN.match(text, begin).end()
+        out, done = [], 0
+        for begin, end, other in sorted(swaps):
+            out += [text[done:begin], other]
+            done = end
+        return "".join([*out, text[done:]])
+
+
+def _ends(text: str, begin: int, end: int) -> list[int]:
+    """Where letters and digits end in a span, last first."""
+    return [i for i in range(end, begin, -1) if text[i - 1].isalnum() and not text[i : i + 1].isalnum()]
+
+
+def _size(text: str, begin: int, end: int) -> int:
+    return sum(c.isalnum() for c in text[begin:end])
 
 
 def luhn(payload: str) -> str:
