@@ -39,15 +39,22 @@ from tillroll.sinks.tables import (  # noqa: E402
 from tillroll.sources import generate, sales_tables as sales  # noqa: E402
 from tillroll.sources.star import read_orders, read_silver  # noqa: E402
 
-# The library is whole without the subpackage and its pipeline.
-if find_spec("tillroll.llm"):
+
+def importable(name: str) -> bool:
+    """Whether a module is there; its own import errors are not hidden."""
+    try:
+        return find_spec(name) is not None
+    except ModuleNotFoundError:  # the package that would hold it is missing
+        return False
+
+
+# The library is whole without the subpackage and the pipeline, which needs the subpackage.
+llm = pipeline = None
+if importable("tillroll.llm.queries"):
     from tillroll.llm import queries as llm
-else:
-    llm = None
-if find_spec("corpus_pipeline"):
-    import corpus_pipeline as pipeline
-else:
-    pipeline = None
+
+    if importable("corpus_pipeline"):
+        import corpus_pipeline as pipeline
 
 Query = Callable[[SparkSession, str], DataFrame]
 
