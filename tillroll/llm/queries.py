@@ -1,8 +1,23 @@
 """The registered queries of this subpackage, with production parameters over whole tables."""
 
 from pyspark.sql import DataFrame, SparkSession
-
-from tillroll.llm import backoff_lm, chaining, decontamination, jaccard_join, language_id, lexicon, pseudonyms, quality, suffix_dedup, token_counts
+from pyspark.sql import functions as F
+
+from tillroll.llm import (
+    backoff_lm,
+    chaining,
+    decontamination,
+    hard_negatives,
+    jaccard_join,
+    language_id,
+    lexicon,
+    piece_encoding,
+    pseudonyms,
+    quality,
+    suffix_dedup,
+    token_counts,
+    whitening,
+)
 from tillroll.llm.batches import with_small_batches
 
 #: The key of the registered queries; a deployment passes its own secret.
@@ -59,6 +74,20 @@ def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFram
     return decontamination.digest(found)
 
 
+def op11_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitened(table(spark, folder, "embeddings"))
+
+
+def op12_sentencepiece_encoding(spark: SparkSession, folder: str) -> DataFrame:
+    return piece_encoding.digest(piece_encoding.round_trip(documents_of(spark, folder)))
+
+
+def op13_hard_negative_mining(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mined(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 def queries():
     return {
         "op1_token_counts": op1_token_counts,
@@ -71,8 +100,38 @@ def queries():
         "op8_bpe_encoding": op8_bpe_encoding,
         "op9_pii_pseudonyms": op9_pii_pseudonyms,
         "op10_benchmark_decontamination": op10_benchmark_decontamination,
+        "op11_embedding_whitening": op11_embedding_whitening,
+        "op12_sentencepiece_encoding": op12_sentencepiece_encoding,
+        "op13_hard_negative_mining": op13_hard_negative_mining,
     }
 
 
+#: Scores of all rows against the anchors, then ranks; as whole numbers throughout.
+HARD_NEGATIVES = """
+WITH kept AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS vec_id, a.label = b.label AS same,
+         CAST(list_sum(list_transform(list_zip(a.x, b.x), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM kept a JOIN kept b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, p.positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS INT) AS rank,
+       s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+  AND 80 * p.positive_score <= 100 * s.score AND 100 * s.score <= 100 * p.positive_score
+QUALIFY rank <= 5
+"""
+
+
 def oracles() -> dict[str, str]:
-    return {}
+    return {"op13_hard_negative_mining": HARD_NEGATIVES}
