@@ -109,14 +109,17 @@ class PieceModel:
         get, none = self.ranks.get, self.none
         parts = list(chunk)
         ranks = [get(a + b, none) for a, b in zip(parts, parts[1:])]
-        while ranks and (best := min(ranks)) < none:
+        while ranks:
+            best = min(ranks)
+            if best == none:
+                break
             i = ranks.index(best)
-            parts[i] += parts.pop(i + 1)
-            del ranks[i]
+            parts[i] = merged = parts[i] + parts[i + 1]
+            del parts[i + 1], ranks[i]
             if i < len(ranks):
-                ranks[i] = get(parts[i] + parts[i + 1], none)
+                ranks[i] = get(merged + parts[i + 1], none)
             if i:
-                ranks[i - 1] = get(parts[i - 1] + parts[i], none)
+                ranks[i - 1] = get(parts[i - 1] + merged, none)
         return self._ids(parts)
 
     def _merged(self, chunk: str) -> list[int]:
@@ -286,9 +289,22 @@ class Speller:
         self.places = offsets_of([len(spelling) for spelling in model.spelt])
 
     def spell(self, ids: np.ndarray) -> str:
-        ids = ids[~self.model.silent[ids]].astype(np.int64)
+        quiet = np.flatnonzero(self.model.silent[ids])
+        if not len(quiet):
+            return self._run(ids, True)
+        # Bytes on two sides of a control symbol make no character together.
+        texts, first = [], True
+        for run in np.split(ids, quiet):
+            run = run[self.model.silent[run[:1]].sum() :]
+            if len(run):
+                texts.append(self._run(run, first))
+                first = False
+        return "".join(texts)
+
+    def _run(self, ids: np.ndarray, first: bool) -> str:
+        ids = ids.astype(np.int64)
         starts, ends = self.places[ids], self.places[ids + 1]
-        if len(ids) and self.model.strips_first and self.model.marked[ids[0]]:
+        if first and len(ids) and self.model.strips_first and self.model.marked[ids[0]]:
             starts[0] += 1  # the marker before the first word is not of the text
         spelt = self.data[ranges(starts, ends - starts)].tobytes()
         return spelt.decode("utf-8", "tillroll.byte")
