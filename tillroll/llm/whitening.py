@@ -148,6 +148,7 @@ def _totals(vectors: DataFrame, made, kind: str) -> dict[int, np.ndarray]:
 
     A task adds up its own vectors; Spark adds up the entries of all tasks. The driver gets one matrix per length.
     """
+    element = pa.int64() if kind.startswith("decimal") else pa.float64()
 
     def run(batches):
         sums: dict[int, np.ndarray] = {}
@@ -158,12 +159,12 @@ def _totals(vectors: DataFrame, made, kind: str) -> dict[int, np.ndarray]:
         for size, total in sums.items():
             for line, values in enumerate(total.tolist()):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([size], pa.int32()), pa.array([line], pa.int32()), pa.array([values])],
+                    [pa.array([size], pa.int32()), pa.array([line], pa.int32()), pa.array([values], pa.list_(element))],
                     names=["size", "line", "entries"],
                 )
 
-    element = "BIGINT" if kind.startswith("decimal") else "DOUBLE"
-    parts = vectors.select("size", "x").mapInArrow(run, f"size INT, line INT, entries ARRAY<{element}>")
+    numbers = "BIGINT" if pa.types.is_integer(element) else "DOUBLE"
+    parts = vectors.select("size", "x").mapInArrow(run, f"size INT, line INT, entries ARRAY<{numbers}>")
     added = (
         parts.select("size", "line", F.posexplode("entries").alias("place", "entry"))
         .groupBy("size", "line", "place")
