@@ -118,7 +118,7 @@ WITH kept AS (
 scored AS (
   SELECT a.vec_id AS anchor_id, b.vec_id AS vec_id, a.label = b.label AS same,
          CAST(list_sum(list_transform(list_zip(a.x, b.x), lambda p: p[1] * p[2])) AS BIGINT) AS score
-  FROM kept a JOIN kept b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+  FROM kept a JOIN kept b ON a.vec_id % 100 = 0 AND a.vec_id IS DISTINCT FROM b.vec_id
 ),
 positives AS (
   SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
