@@ -8,7 +8,7 @@ import tempfile
 from collections.abc import Callable
 from importlib.util import find_spec
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -23,8 +23,10 @@ from tillroll.operators.outliers import price_outliers  # noqa: E402
 from tillroll.operators.quality import cast_failures, order_rejects, split_orders  # noqa: E402
 from tillroll.operators.silver import clean, enrich, with_calendar  # noqa: E402
 from tillroll.operators.skew import salted_revenue  # noqa: E402
-from tillroll.plans import reports  # noqa: E402
+from tillroll.plans import incremental, reports  # noqa: E402
 from tillroll.plans.layers import build_layers, register_views, stored_layers, write_layers  # noqa: E402
+from tillroll.plans.upsert import upsert  # noqa: E402
+from tillroll.sinks import versions  # noqa: E402
 from tillroll.sinks.scratch import SETTING, materialise, scratch_path  # noqa: E402
 from tillroll.sinks.tables import (  # noqa: E402
     append_bronze,
@@ -233,29 +235,133 @@ def silver_roundtrip_pruned(spark: SparkSession, folder: str) -> DataFrame:
     return silver.filter((F.col("yyyymm") == F.lit(month)) & (F.col("region") == F.lit(region)))
 
 
+def changed_month(spark: SparkSession, folder: str) -> tuple[str | None, DataFrame]:
+    """The last full month, and its silver after a third of the customers moved and all quantities grew by one."""
+    orders = sales.orders(spark, folder).select(BRONZE_COLUMNS)
+    month = reports.report_month(orders, "last_full")
+    moved = sales.customers(spark, folder).withColumn(
+        "region", F.when(F.col("customer_id") % 3 == 0, "MOVED").otherwise(F.col("region"))
+    )
+    rows = orders.filter(in_month(F.col("order_ts"), month) if month else F.lit(False))
+    changed = rows.withColumn("quantity", F.col("quantity") + 1)
+    return month, enrich(changed, moved, sales.products(spark, folder))
+
+
+def region_totals(silver: DataFrame) -> DataFrame:
+    return silver.groupBy("yyyymm", "region").agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.sum("quantity").alias("units"),
+        gold.money_sum(F.col("total_amount")).alias("revenue"),
+    )
+
+
 def silver_month_rebuilt(spark: SparkSession, folder: str) -> DataFrame:
-    """Silver written, then its last full month made again after a third of the customers moved and all quantities grew
-    by one; totals per month and region."""
+    """Silver written, then its last full month made again; totals per month and region."""
     silver = silver_left(spark, folder)
     path = scratch_path(spark, "silver_orders")
     write_silver(silver, path)
-    orders = sales.orders(spark, folder).select(BRONZE_COLUMNS)
-    month = reports.report_month(orders, "last_full")
+    month, changed = changed_month(spark, folder)
     if month:
-        moved = sales.customers(spark, folder).withColumn(
-            "region", F.when(F.col("customer_id") % 3 == 0, "MOVED").otherwise(F.col("region"))
-        )
-        changed = orders.filter(in_month(F.col("order_ts"), month)).withColumn("quantity", F.col("quantity") + 1)
-        rebuild_months(enrich(changed, moved, sales.products(spark, folder)), path, [month])
-    return (
-        read_silver(spark, path, silver.schema)
-        .groupBy("yyyymm", "region")
-        .agg(
-            F.count(F.lit(1)).alias("row_count"),
-            F.sum("quantity").alias("units"),
-            gold.money_sum(F.col("total_amount")).alias("revenue"),
+        rebuild_months(changed, path, [month])
+    return region_totals(read_silver(spark, path, silver.schema))
+
+
+def versioned_silver(spark: SparkSession, folder: str, then: Callable[[str], None] = lambda path: None) -> str:
+    """Where silver is stored in versions: as built, what ``then`` makes of it, and its last full month made again."""
+    path = scratch_path(spark, "silver_orders")
+    versions.replace(silver_left(spark, folder), path)
+    then(path)
+    month, changed = changed_month(spark, folder)
+    if month:
+        versions.replace(changed, path, [month])
+    return path
+
+
+def silver_version(version: int | None) -> Query:
+    """Totals of silver in its first or its latest version."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        path = versioned_silver(spark, folder)
+        return region_totals(versions.read(spark, path, silver_left(spark, folder).schema, version))
+
+    return query
+
+
+def gold_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    """Gold from partial totals that were made for all months and then for the one that changed."""
+    base, schema = scratch_path(spark, "gold"), silver_left(spark, folder).schema
+    path = versioned_silver(spark, folder, lambda path: incremental.refresh(spark, path, base, schema))
+    incremental.refresh(spark, path, base, schema)
+    layers = [
+        incremental.monthly_region_category(spark, base).selectExpr(
+            "'monthly' AS layer", "yyyymm", "region", "category", "revenue AS amount", "units"
+        ),
+        incremental.monthly_total(spark, base).selectExpr("'total' AS layer", "yyyymm", "revenue AS amount"),
+        incremental.customer_spend(spark, base).selectExpr(
+            "'spend' AS layer", "region", "customer_id", "total_spent AS amount"
+        ),
+    ]
+    stacked = layers[0].unionByName(layers[1], allowMissingColumns=True)
+    return stacked.unionByName(layers[2], allowMissingColumns=True)
+
+
+def stored_latest_month(spark: SparkSession, folder: str) -> DataFrame:
+    """The latest month by the manifest of stored silver alone."""
+    path = scratch_path(spark, "silver_orders")
+    versions.replace(silver_left(spark, folder), path)
+    return incremental.latest_month(spark, path)
+
+
+def bronze_append_once(spark: SparkSession, folder: str) -> DataFrame:
+    """Bronze stored by two named batches, each of them sent twice."""
+    bronze = sales.orders(spark, folder)
+    path = scratch_path(spark, "orders_bronze")
+    for name, flag in (("sales", 0), ("returns", 1), ("sales", 0), ("returns", 1)):
+        versions.append_batch(bronze.filter(F.col("is_return") == flag), path, name)
+    return versions.read(spark, path, bronze.schema)
+
+
+def order_changes(bronze: DataFrame) -> DataFrame:
+    """For every hundredth order a correction, half of them to another month; a stale one; two of which the later holds;
+    and a late order."""
+    number = F.substring("order_id", 5, 20).cast("bigint")
+
+    def change(rest: int, added: int, days: int, ts: Column | None = None, order_id: Column | None = None) -> DataFrame:
+        return bronze.filter(number % 100 == rest).select(
+            (order_id if order_id is not None else F.col("order_id")).alias("order_id"),
+            (ts if ts is not None else F.col("order_ts")).alias("order_ts"),
+            "customer_id",
+            "product_id",
+            (F.col("quantity") + added).alias("quantity"),
+            "channel",
+            (F.col("order_ts") + F.make_dt_interval(F.lit(days))).alias("sent_at"),
         )
-    )
+
+    moved = F.when(number % 200 == 7, F.col("order_ts") + F.make_dt_interval(F.lit(31))).otherwise(F.col("order_ts"))
+    changes = [
+        change(7, 1, 10, ts=moved),
+        change(8, 5, -1),
+        change(9, 2, 1),
+        change(9, 3, 2),
+        change(10, 0, 0, order_id=F.concat(F.lit("LATE-"), F.col("order_id"))),
+    ]
+    stacked = changes[0]
+    for more in changes[1:]:
+        stacked = stacked.unionAll(more)
+    return stacked
+
+
+def silver_upserted(spark: SparkSession, folder: str) -> DataFrame:
+    """Silver after late and corrected orders were put into it, twice."""
+    bronze = sales.orders(spark, folder).select(BRONZE_COLUMNS)
+    dimensions = sales.customers(spark, folder), sales.products(spark, folder)
+    silver = enrich(bronze.withColumn("sent_at", F.col("order_ts")), *dimensions)
+    changes = enrich(order_changes(bronze), *dimensions)
+    path = scratch_path(spark, "silver_orders")
+    versions.replace(silver, path)
+    for _ in range(2):
+        upsert(changes, path, silver.schema)
+    return versions.read(spark, path, silver.schema)
 
 
 def bent_star(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -476,6 +582,12 @@ def all_queries() -> dict[str, Query]:
         "bucketed_spend": bucketed_spend,
         "reused_counts": reused_counts,
         "bronze_append": bronze_append,
+        "bronze_append_once": bronze_append_once,
+        "silver_version_first": silver_version(1),
+        "silver_version_latest": silver_version(None),
+        "silver_upserted": silver_upserted,
+        "gold_incremental": gold_incremental,
+        "stored_latest_month": stored_latest_month,
         "gen_customers": gen_customers,
         "gen_products": gen_products,
         "gen_orders": gen_orders,

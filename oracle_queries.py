@@ -93,6 +93,43 @@ LAST_FULL = (
     " WHERE last_day(CAST(order_ts AS DATE)) <= (SELECT max(CAST(order_ts AS DATE)) FROM bronze)"
 )
 
+REGION_TOTALS = (
+    "yyyymm, region, count(*) AS row_count, CAST(sum(quantity) AS BIGINT) AS units, " + REVENUE + " AS revenue"
+)
+
+# Silver after the last full month was made again.
+REBUILT = f"""
+rebuilt AS (
+  SELECT * REPLACE (
+    CASE WHEN changed AND customer_id % 3 = 0 AND region IS NOT NULL THEN 'MOVED' ELSE region END AS region,
+    quantity + CASE WHEN changed THEN 1 ELSE 0 END AS quantity,
+    unit_price * (quantity + CASE WHEN changed THEN 1 ELSE 0 END) AS total_amount)
+  FROM (SELECT *, yyyymm = ({LAST_FULL}) AS changed FROM silver)
+)"""
+
+# Bronze after late and corrected orders: of each order, the rows that were sent last.
+UPSERTED = """
+numbered AS (SELECT *, CAST(order_id[5:] AS BIGINT) AS number FROM bronze),
+sent AS (
+  SELECT *, order_ts AS sent_at, 0 AS place FROM numbered
+  UNION ALL BY NAME
+  SELECT * REPLACE (quantity + 1 AS quantity, order_ts + CASE WHEN number % 200 = 7 THEN INTERVAL 31 DAY
+                    ELSE INTERVAL 0 DAY END AS order_ts),
+         order_ts + INTERVAL 10 DAY AS sent_at, 1 AS place FROM numbered WHERE number % 100 = 7
+  UNION ALL BY NAME
+  SELECT * REPLACE (quantity + 5 AS quantity), order_ts - INTERVAL 1 DAY AS sent_at, 1 AS place
+  FROM numbered WHERE number % 100 = 8
+  UNION ALL BY NAME
+  SELECT * EXCLUDE (later) REPLACE (quantity + later + 1 AS quantity), order_ts + to_days(later) AS sent_at, 1 AS place
+  FROM (SELECT *, unnest([1, 2]) AS later FROM numbered WHERE number % 100 = 9)
+  UNION ALL BY NAME
+  SELECT * REPLACE ('LATE-' || order_id AS order_id), order_ts AS sent_at, 1 AS place FROM numbered WHERE number % 100 = 10
+),
+upserted AS (
+  SELECT * EXCLUDE (number, place) FROM sent
+  QUALIFY order_id IS NULL OR rank() OVER (PARTITION BY order_id ORDER BY sent_at DESC, place DESC) = 1
+)"""
+
 # Bronze and dimensions with NULL keys, unknown keys and quantities of zero.
 BENT = f"""
 bent_bronze AS (
@@ -303,12 +340,23 @@ ORACLES = {
         f"SELECT {SILVER_COLUMNS} FROM silver WHERE yyyymm = ({LAST_FULL})"
         " AND region = (SELECT min(region) FROM customers)"
     ),
-    "silver_month_rebuilt": over_silver(
-        f"SELECT yyyymm, CASE WHEN changed AND customer_id % 3 = 0 AND region IS NOT NULL THEN 'MOVED' ELSE region END"
-        f" AS region, count(*) AS row_count, CAST(sum(quantity + CASE WHEN changed THEN 1 ELSE 0 END) AS BIGINT) AS units,"
-        f" {money('unit_price * (quantity + CASE WHEN changed THEN 1 ELSE 0 END)')} AS revenue"
-        f" FROM (SELECT *, yyyymm = ({LAST_FULL}) AS changed FROM silver) GROUP BY ALL"
+    "silver_month_rebuilt": over_silver(f"SELECT {REGION_TOTALS} FROM rebuilt GROUP BY yyyymm, region", REBUILT),
+    "silver_version_latest": over_silver(f"SELECT {REGION_TOTALS} FROM rebuilt GROUP BY yyyymm, region", REBUILT),
+    "silver_version_first": over_silver(f"SELECT {REGION_TOTALS} FROM silver GROUP BY yyyymm, region"),
+    "gold_incremental": over_silver(
+        f"SELECT 'monthly' AS layer, yyyymm, region, category, NULL::BIGINT AS customer_id, {REVENUE} AS amount,"
+        " CAST(sum(quantity) AS BIGINT) AS units FROM rebuilt GROUP BY yyyymm, region, category"
+        f" UNION ALL SELECT 'total', yyyymm, NULL, NULL, NULL, {REVENUE}, NULL FROM rebuilt GROUP BY yyyymm"
+        f" UNION ALL SELECT 'spend', NULL, region, NULL, customer_id, {REVENUE}, NULL FROM rebuilt"
+        " GROUP BY region, customer_id",
+        REBUILT,
+    ),
+    "stored_latest_month": over([BRONZE], "SELECT max(strftime(order_ts, '%Y%m')) AS yyyymm FROM bronze"),
+    "silver_upserted": over(
+        [CUSTOMERS, PRODUCTS, BRONZE, UPSERTED, silver("LEFT").replace("FROM bronze b", "FROM upserted b")],
+        f"SELECT {SILVER_COLUMNS}, sent_at FROM silver",
     ),
+    "bronze_append_once": over([BRONZE], "SELECT * FROM bronze"),
     "bronze_append": over([BRONZE], "SELECT * FROM bronze"),
     "gold_roundtrip": over_silver(
         "SELECT 'gold_monthly_region_category' AS layer, yyyymm, region, category, NULL::BIGINT AS customer_id,"
