@@ -21,9 +21,10 @@ from tillroll.functions.hashing import simulated_return  # noqa: E402
 from tillroll.operators import gold  # noqa: E402
 from tillroll.operators.outliers import price_outliers  # noqa: E402
 from tillroll.operators.quality import cast_failures, order_rejects, split_orders  # noqa: E402
+from tillroll.operators.running import running_total  # noqa: E402
 from tillroll.operators.silver import clean, enrich, with_calendar  # noqa: E402
-from tillroll.operators.skew import salted_revenue  # noqa: E402
-from tillroll.plans import incremental, reports  # noqa: E402
+from tillroll.operators.skew import hot_key_join, salted_revenue  # noqa: E402
+from tillroll.plans import incremental, quarantine, reports  # noqa: E402
 from tillroll.plans.layers import build_layers, register_views, stored_layers, write_layers  # noqa: E402
 from tillroll.plans.upsert import upsert  # noqa: E402
 from tillroll.sinks import versions  # noqa: E402
@@ -120,6 +121,19 @@ def moving_average(calendar: bool) -> Query:
     return query
 
 
+def running_by_day(spark: SparkSession, folder: str) -> DataFrame:
+    """Revenue of each day and of all days up to it."""
+    lines = priced_lines(spark, folder)
+    daily = lines.groupBy("order_date").agg(gold.money_sum(F.col("total_amount")).alias("revenue"))
+    return running_total(daily, "revenue", ["order_date"])
+
+
+def running_by_order(spark: SparkSession, folder: str) -> DataFrame:
+    """Revenue up to and with each order line, in order of time."""
+    key = ["order_ts", "order_id", "product_id", "quantity"]
+    return running_total(priced_lines(spark, folder).select(*key, "total_amount"), "total_amount", key)
+
+
 def channel_mix(spark: SparkSession, folder: str) -> DataFrame:
     mix = gold.channel_mix(priced_lines(spark, folder))
     return mix.withColumn("pct", F.round("pct", 4))
@@ -352,15 +366,14 @@ def order_changes(bronze: DataFrame) -> DataFrame:
 
 
 def silver_upserted(spark: SparkSession, folder: str) -> DataFrame:
-    """Silver after late and corrected orders were put into it, twice."""
+    """Silver after late and corrected orders were put into it."""
     bronze = sales.orders(spark, folder).select(BRONZE_COLUMNS)
     dimensions = sales.customers(spark, folder), sales.products(spark, folder)
     silver = enrich(bronze.withColumn("sent_at", F.col("order_ts")), *dimensions)
     changes = enrich(order_changes(bronze), *dimensions)
     path = scratch_path(spark, "silver_orders")
     versions.replace(silver, path)
-    for _ in range(2):
-        upsert(changes, path, silver.schema)
+    upsert(changes, path, silver.schema)
     return versions.read(spark, path, silver.schema)
 
 
@@ -396,6 +409,29 @@ def raw_orders(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def orders_quarantined(spark: SparkSession, folder: str) -> DataFrame:
+    """What does not parse in raw orders, value by value."""
+    _, broken = quarantine.split_raw(raw_orders(spark, folder), RAW_SCHEMA)
+    return quarantine.listed_failures(broken, "order_id")
+
+
+def orders_replayed(spark: SparkSession, folder: str) -> DataFrame:
+    """Bronze from raw orders, the quarantined ones with a quantity of one for those that were not numbers; orders
+    without a time that parses stay away."""
+    bronze, held = scratch_path(spark, "orders_bronze"), scratch_path(spark, "quarantine")
+    quarantine.ingest(raw_orders(spark, folder), RAW_SCHEMA, bronze, held, "first")
+    one = F.when(F.col("quantity").try_cast("int").isNull(), "1").otherwise(F.col("quantity"))
+    quarantine.replay(spark, RAW_SCHEMA, bronze, held, {"quantity": one})
+    return versions.read(spark, bronze, RAW_SCHEMA)
+
+
+def hot_customers_joined(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines and the country of their customer, joined by salting the customers with a hundredth of the lines."""
+    lines = sales.orders(spark, folder).select(BRONZE_COLUMNS)
+    countries = sales.customers(spark, folder).select("customer_id", "country")
+    return hot_key_join(lines, countries, "customer_id", ["order_id", "product_id"])
+
+
 RAW_SCHEMA = schemas.ORDERS_BRONZE.replace("order_ts TIMESTAMP", "order_ts TIMESTAMP_NTZ")
 
 
@@ -548,6 +584,9 @@ def all_queries() -> dict[str, Query]:
         "orders_rejected": orders_rejected,
         "orders_cleaned": lambda spark, folder: clean(raw_orders(spark, folder), RAW_SCHEMA),
         "cast_failures": lambda spark, folder: cast_failures(raw_orders(spark, folder), RAW_SCHEMA),
+        "orders_quarantined": orders_quarantined,
+        "orders_replayed": orders_replayed,
+        "hot_customers_joined": hot_customers_joined,
         "monthly_region_category": monthly_region_category,
         "customer_spend": customer_spend,
         "top_customers_10": top_customers(10),
@@ -558,6 +597,8 @@ def all_queries() -> dict[str, Query]:
         "moving_avg_3m_calendar": moving_average(calendar=True),
         "moving_avg_gap": gapped_average(calendar=False),
         "moving_avg_gap_calendar": gapped_average(calendar=True),
+        "running_by_day": running_by_day,
+        "running_by_order": running_by_order,
         "channel_mix": channel_mix,
         "net_revenue": net_revenue(simulated=False),
         "net_revenue_simulated": net_revenue(simulated=True),

@@ -274,6 +274,21 @@ ORACLES = {
         "SELECT unnest(['order_id', 'order_ts', 'customer_id', 'product_id', 'quantity', 'channel']) AS column,"
         " unnest([0, count(*) FILTER (WHERE bad_ts), 0, 0, count(*) FILTER (WHERE bad_quantity), 0]) AS rejected FROM raw",
     ),
+    "orders_quarantined": over(
+        [BRONZE, RAW],
+        "SELECT order_id, 'order_ts' AS column, 'soon' AS value, 'not a timestamp_ntz' AS reason FROM raw WHERE bad_ts"
+        " UNION ALL SELECT order_id, 'quantity', 'many', 'not a int' FROM raw WHERE bad_quantity",
+    ),
+    "orders_replayed": over(
+        [BRONZE, RAW],
+        "SELECT order_id, order_ts, customer_id, product_id, CASE WHEN bad_quantity THEN 1 ELSE quantity END AS quantity,"
+        " channel FROM raw WHERE NOT coalesce(bad_ts, false)",
+    ),
+    "hot_customers_joined": over(
+        [CUSTOMERS, BRONZE],
+        "SELECT order_id, order_ts, b.customer_id, product_id, quantity, channel, country"
+        " FROM bronze b LEFT JOIN customers c ON b.customer_id = c.customer_id",
+    ),
     "order_rejects": over(
         [CUSTOMERS, PRODUCTS, BRONZE, BENT],
         "SELECT rule, count(*) FILTER (WHERE list_contains(rules, rule)) AS rejected FROM rejects, (SELECT unnest(["
@@ -298,6 +313,15 @@ ORACLES = {
     "moving_avg_gap_calendar": gapped(
         "ORDER BY CAST(yyyymm[1:4] AS INT) * 12 + CAST(yyyymm[5:6] AS INT) RANGE BETWEEN 2 PRECEDING AND CURRENT ROW"
     ),
+    "running_by_day": over_silver(
+        "SELECT order_date, revenue, CAST(sum(CAST(revenue AS DECIMAL(38,6))) OVER (ORDER BY order_date) AS DOUBLE)"
+        f" AS running_total FROM (SELECT order_date, {REVENUE} AS revenue FROM silver GROUP BY order_date)"
+    ),
+    "running_by_order": over_silver(
+        "SELECT order_ts, order_id, product_id, quantity, total_amount, CAST(sum(CAST(total_amount AS DECIMAL(38,6)))"
+        " OVER (ORDER BY order_ts NULLS FIRST, order_id NULLS FIRST, product_id NULLS FIRST, quantity NULLS FIRST"
+        " ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS running_total FROM silver"
+    ),
     "channel_mix": over_silver(
         "SELECT yyyymm, channel, revenue,"
         " round(100 * revenue / nullif(sum(revenue) OVER (PARTITION BY yyyymm), 0), 4) AS pct"

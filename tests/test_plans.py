@@ -76,8 +76,21 @@ def test_ranking_is_limited_before_the_shuffle(spark):
 def test_ranking_totals_the_lines_once(spark):
     plan = final_plan(driver.queries()["top_customers_10"](spark, FOLDER))
     assert plan.count("FileScan parquet [l_orderkey") == 1
-    assert plan.count("AS salt#") == 1, "contenders are computed once"
-    assert "Generate" in plan and "eqNullSafe" not in plan
+    assert "collect_list" not in plan
+
+
+@pytest.mark.parametrize("broadcasts", ["-1", "10MB"])
+def test_a_tie_is_never_in_one_task(spark, settings, broadcasts):
+    from tillroll.operators.gold import top_customers
+
+    settings(spark__sql__autoBroadcastJoinThreshold=broadcasts, spark__sql__adaptive__coalescePartitions__enabled="false")
+    tied = spark.range(1_000_000).selectExpr("'E' AS region", "id AS customer_id", "CAST(id % 20 = 7 AS DOUBLE) AS total_spent")
+    top = top_customers(tied, 3)
+    assert top.count() == 1_000_000
+    largest = top.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert largest < 400_000
+    # What goes to the ranks is one row per spend and task.
+    assert top.filter("rank = 1").count() == 50_000
 
 
 def test_one_folder_is_read_for_one_month_and_region(spark):

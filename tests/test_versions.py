@@ -230,12 +230,12 @@ def test_upsert_into_an_empty_table(spark, tmp_path):
 
 def test_gold_reads_just_the_changed_months(spark, tmp_path, monkeypatch):
     folder = f"{DATA}/sf0.001"
-    silver = driver.silver_left(spark, folder)
+    silver = driver.silver_left(spark, folder).filter("yyyymm LIKE '1997%'")
     path, base = str(tmp_path / "silver"), str(tmp_path / "gold")
     versions.replace(silver, path)
     assert incremental.stale_months(spark, path, f"{base}/sales")
     first = incremental.refresh(spark, path, base, silver.schema)
-    assert len(first["sales"]) == len(first["spend"]) > 12
+    assert len(first["sales"]) == len(first["spend"]) == 12
     assert incremental.refresh(spark, path, base, silver.schema) == {"sales": [], "spend": []}
 
     month = first["sales"][3]

@@ -51,3 +51,16 @@ def partial_money(amount: Column, name: str) -> list[Column]:
 def merged_money(name: str) -> Column:
     """Total over the columns of ``partial_money``."""
     return _joined(*[F.sum(f"{name}_{place}") for place in ("high", "units", "millionths", "beyond")])
+
+
+PLACES = ("high", "units", "millionths", "beyond")
+
+
+def cut_money(amount: Column, name: str) -> list[Column]:
+    """The parts of each amount, whose sums ``join_money`` puts together."""
+    return [part.alias(f"{name}_{place}") for part, place in zip(_cut(amount), PLACES)]
+
+
+def join_money(name: str) -> Column:
+    """The total over sums of ``cut_money``, under the same names."""
+    return _joined(*[F.col(f"{name}_{place}") for place in PLACES])

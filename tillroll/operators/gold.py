@@ -1,6 +1,6 @@
 """Silver to gold: the business tables."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions.calendar import month_index, month_key
@@ -45,28 +45,41 @@ def top_customers(spend: DataFrame, n: int, salts: int = 64) -> DataFrame:
     """Customers whose spend is among the ``n`` highest of their region, by dense
     rank: equal spends share a rank and are all kept; a NULL spend sorts last.
 
-    Each region is split by a hash of the customer. Within a split only spends
-    that can still be among the highest are kept, and tied customers become one
-    row, so the ranks come from at most ``n`` rows a split. No task ever holds a
-    region; a tie is spread over the splits, and ``salts`` bounds each part.
+    Only distinct spends are ranked, so a tie is one row from the first task on:
+    within splits of a region first, and then the at most ``n`` left of each
+    split. The few ranked spends are joined back to the customers on region,
+    spend and a hash of the customer. No task ever holds a region or all
+    customers of a tie, however large.
     """
     highest = F.desc("total_spent")
-    split = F.pmod(F.xxhash64("customer_id"), F.lit(salts))
-    place = F.dense_rank().over(Window.partitionBy("region", "salt").orderBy(highest))
+
+    def split(column: str) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(salts))
+
+    place = F.dense_rank().over(Window.partitionBy("region", "split").orderBy(highest))
     rank = F.dense_rank().over(Window.partitionBy("region").orderBy(highest))
-    contenders = (
-        spend.withColumn("salt", split).withColumn("place", place).filter(F.col("place") <= n)
-    )
-    # Grouping keeps to the partitioning of the splits and needs no shuffle.
-    tied = contenders.groupBy("region", "salt", "total_spent").agg(
-        F.collect_list(F.struct("customer_id")).alias("tied")
-    )
-    return (
-        tied.withColumn("rank", rank)
+    tops = (
+        spend.select("region", "total_spent")
+        .distinct()
+        .withColumn("split", split("total_spent"))
+        .withColumn("place", place)
+        .filter(F.col("place") <= n)
+        .withColumn("rank", rank)
         .filter(F.col("rank") <= n)
-        .select("region", F.explode("tied").alias("customer"), "total_spent", "rank")
-        .select("region", "customer.customer_id", "total_spent", "rank")
+        .select(
+            F.col("region").alias("top_region"),
+            F.col("total_spent").alias("top_spent"),
+            "rank",
+            F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))).alias("top_salt"),
+        )
+    )
+    salted = spend.withColumn("salt", split("customer_id"))
+    is_top = (
+        salted["salt"].eqNullSafe(tops["top_salt"])
+        & salted["region"].eqNullSafe(tops["top_region"])
+        & salted["total_spent"].eqNullSafe(tops["top_spent"])
     )
+    return salted.join(tops, is_top).select("region", "customer_id", "total_spent", "rank")
 
 
 def monthly_total(silver: DataFrame) -> DataFrame:
