@@ -36,6 +36,7 @@ from tillroll.sinks.tables import (  # noqa: E402
     reused,
     sample,
     write_bucketed,
+    write_clustered,
     write_gold,
     write_silver,
 )
@@ -280,6 +281,25 @@ def silver_month_rebuilt(spark: SparkSession, folder: str) -> DataFrame:
     return region_totals(read_silver(spark, path, silver.schema))
 
 
+def fourth_quarters(spark: SparkSession, folder: str) -> DataFrame:
+    """Sales of all fourth quarters, from stored silver and a stored calendar."""
+    silver = silver_left(spark, folder)
+    path, calendar = scratch_path(spark, "silver_orders"), scratch_path(spark, "calendar")
+    write_silver(silver, path)
+    write_gold(reports.calendar_months(sales.orders(spark, folder)), calendar)
+    months = spark.read.schema("yyyymm STRING, year INT, quarter INT").parquet(calendar)
+    return reports.sales_of_months(read_silver(spark, path, silver.schema), months.filter("quarter = 4"))
+
+
+def clustered_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    """The lines of the first, the last and a missing order, from bronze clustered by order."""
+    bronze = sales.orders(spark, folder).select(BRONZE_COLUMNS)
+    ends = bronze.agg(F.min("order_id").alias("first"), F.max("order_id").alias("last")).first()
+    path = scratch_path(spark, "orders_clustered")
+    write_clustered(bronze, path, "order_id", 8, 1 << 20)
+    return read_orders(spark, path, bronze.schema).filter(F.col("order_id").isin(ends["first"], ends["last"], "ORD-X"))
+
+
 def versioned_silver(spark: SparkSession, folder: str, then: Callable[[str], None] = lambda path: None) -> str:
     """Where silver is stored in versions: as built, what ``then`` makes of it, and its last full month made again."""
     path = scratch_path(spark, "silver_orders")
@@ -629,6 +649,8 @@ def all_queries() -> dict[str, Query]:
         "silver_upserted": silver_upserted,
         "gold_incremental": gold_incremental,
         "stored_latest_month": stored_latest_month,
+        "fourth_quarters": fourth_quarters,
+        "clustered_lookup": clustered_lookup,
         "gen_customers": gen_customers,
         "gen_products": gen_products,
         "gen_orders": gen_orders,

@@ -375,6 +375,15 @@ ORACLES = {
         " GROUP BY region, customer_id",
         REBUILT,
     ),
+    "fourth_quarters": over_silver(
+        f"SELECT region, {REVENUE} AS revenue, CAST(sum(quantity) AS BIGINT) AS units FROM silver"
+        " WHERE yyyymm[5:6] IN ('10', '11', '12') GROUP BY region"
+    ),
+    "clustered_lookup": over(
+        [BRONZE],
+        "SELECT order_id, order_ts, customer_id, product_id, quantity, channel FROM bronze"
+        " WHERE order_id IN ((SELECT min(order_id) FROM bronze), (SELECT max(order_id) FROM bronze))",
+    ),
     "stored_latest_month": over([BRONZE], "SELECT max(strftime(order_ts, '%Y%m')) AS yyyymm FROM bronze"),
     "silver_upserted": over(
         [CUSTOMERS, PRODUCTS, BRONZE, UPSERTED, silver("LEFT").replace("FROM bronze b", "FROM upserted b")],

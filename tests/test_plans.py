@@ -269,3 +269,63 @@ def test_lookup_keeps_one_key_column(spark):
         spark.sql("SELECT 1 AS k, 2 AS v"), {"k": spark.sql("SELECT 1 AS k, 'a' AS name")}, "inner"
     )
     assert rows_of(joined, ["k", "v", "name"]) == [(1, 2, "a")]
+
+
+def scan_metrics(frame, name):
+    """A metric of each file scan of the frame, after it has run."""
+    plan = frame._jdf.queryExecution().executedPlan()
+    plan.executeCollect()
+    found, left = [], [plan]
+    while left:
+        node = left.pop()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            left.append(node.executedPlan())
+        elif node.nodeName().endswith("QueryStage"):
+            left.append(node.plan())
+        elif node.nodeName().startswith("Scan parquet"):
+            found.append(node.metrics().apply(name).value())
+        children = node.children()
+        left += [children.apply(i) for i in range(children.size())]
+    return found
+
+
+def test_folders_are_pruned_while_the_query_runs(spark):
+    frame = driver.fourth_quarters(spark, FOLDER)
+    assert "dynamicpruning" in plan_of(frame)
+    path = next(file for file in frame.inputFiles() if "silver_orders" in file).split("/yyyymm=")[0]
+    stored = spark.read.parquet(path)
+    folders = len({file.rsplit("/", 1)[0] for file in stored.inputFiles()})
+    months = stored.select("yyyymm").distinct().count()
+    fourth = stored.filter("CAST(yyyymm AS INT) % 100 > 9")
+    read = max(scan_metrics(frame, "numFiles"))
+    assert read == len({row[0] for row in rows_of(fourth.select(F.input_file_name().alias("f")).distinct())})
+    assert read < len(stored.inputFiles()) / 3 and folders > months > 12
+
+
+def test_lines_of_other_customers_are_dropped_before_the_shuffle(spark, settings):
+    settings(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__optimizer__runtime__bloomFilter__applicationSideScanSizeThreshold="0",
+        spark__sql__optimizer__runtime__bloomFilter__creationSideThreshold="100MB",
+    )
+    lines = spark.read.parquet(f"{FOLDER}/orders.parquet").select("o_orderkey", "o_custkey")
+    some = spark.read.parquet(f"{FOLDER}/customer.parquet").filter("c_mktsegment = 'BUILDING'").select("c_custkey")
+    plan = plan_of(lines.join(some, F.col("o_custkey") == F.col("c_custkey")))
+    assert "might_contain" in plan
+
+
+def test_a_lookup_reads_few_row_groups(spark, tmp_path):
+    from tillroll.sinks.tables import write_clustered
+
+    rows = spark.range(400_000).selectExpr("concat('ORD-', lpad(id * 7919 % 400000, 9, '0')) AS order_id", "id")
+    path = str(tmp_path / "clustered")
+    write_clustered(rows.filter("id % 2 = 0"), path, "order_id", 4, 1 << 18)
+    stored = spark.read.parquet(path)
+    there = stored.agg(F.max("order_id")).first()[0]
+    found = stored.filter(F.col("order_id") == there)
+    assert found.count() == 1
+    assert max(scan_metrics(found, "numOutputRows")) < 200_000 / 10
+    # Inside the range of the keys, but held by none: the Bloom filter knows.
+    absent = rows.filter("id % 2 = 1").agg(F.min("order_id")).first()[0]
+    assert absent < there
+    assert max(scan_metrics(stored.filter(F.col("order_id") == absent), "numOutputRows")) == 0

@@ -5,7 +5,8 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.functions.calendar import in_month
+from tillroll.functions.calendar import in_month, month_key
+from tillroll.functions.money import money_sum
 from tillroll.operators.gold import monthly_region_category
 from tillroll.operators.silver import enrich
 
@@ -56,6 +57,29 @@ def report_month(orders: DataFrame, month: str = "latest") -> str | None:
     return before and _month(before)
 
 
+def calendar_months(orders: DataFrame) -> DataFrame:
+    """The months that have orders, with their year and quarter: a dimension of silver's folders."""
+    month = F.trunc(F.to_date("order_ts"), "month").alias("first_day")
+    months = orders.select(month).distinct().filter("first_day IS NOT NULL")
+    return months.select(
+        month_key(F.col("first_day")).alias("yyyymm"),
+        F.year("first_day").alias("year"),
+        F.quarter("first_day").alias("quarter"),
+    )
+
+
+def sales_of_months(silver: DataFrame, months: DataFrame) -> DataFrame:
+    """Revenue and units per region of stored silver in the chosen ``months``, rows of ``calendar_months``.
+
+    The months are not known when the query is planned. Spark finds them while it runs, from the small side of the join,
+    and lists just their folders of silver.
+    """
+    chosen = silver.select("yyyymm", "region", "total_amount", "quantity").join(months, "yyyymm")
+    return chosen.groupBy("region").agg(
+        money_sum(F.col("total_amount")).alias("revenue"), F.sum("quantity").alias("units")
+    )
+
+
 def top_categories(
     orders: DataFrame, customers: DataFrame, products: DataFrame, month: str = "latest", n: int = 5
 ) -> DataFrame:

@@ -71,6 +71,23 @@ def write_bucketed(frame: DataFrame, table: str, buckets: int, key: str = "custo
     )
 
 
+def write_clustered(frame: DataFrame, path: str, key: str, files: int, row_group_bytes: int = 16 << 20) -> None:
+    """Replace a table whose files hold ranges of ``key``, in order, with a Bloom filter on it.
+
+    A reader that looks for some keys skips files and row groups by their least and greatest key, and those of the rest
+    whose filter does not have one. Rows of one key lie together.
+    """
+    (
+        frame.repartitionByRange(files, key)
+        .sortWithinPartitions(key)
+        .write.mode("overwrite")
+        .option(f"parquet.bloom.filter.enabled#{key}", "true")
+        .option("parquet.bloom.filter.adaptive.enabled", "true")
+        .option("parquet.block.size", str(row_group_bytes))
+        .parquet(path)
+    )
+
+
 def sample(frame: DataFrame, rows: int = 20) -> DataFrame:
     """The first rows, in no particular order unless ``frame`` is sorted."""
     return frame.limit(rows)
