@@ -16,6 +16,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.batches import pieces, ranges, texts_of
+from tillroll.sinks.scratch import materialise
 
 WINDOW = 10
 #: Benchmark words in one set of tables; a larger benchmark is searched in as many passes as it has such blocks.
@@ -291,15 +293,18 @@ def contamination(documents: DataFrame, benchmark: DataFrame, block_words: int =
 
     Reads ``doc_id``, ``text`` and ``item_id``, ``text``. One row per document: ``n_words``, the hit stretches as
     ``starts`` and ``stops`` (word numbers, stops excluded), ``n_hit`` words in them and the ``items`` found.
-    NULL and empty texts have no words; items without words find nothing; without items nothing is hit. With a
-    benchmark of one block there is no shuffle; each further block is one more pass over the documents, whose hits
-    are merged by ``doc_id``, which must then be unique.
+    NULL and empty texts have no words; items without words find nothing; without items nothing is hit; ids may repeat
+    or be NULL. With a benchmark of one block there is no shuffle. A larger one needs a pass for each block, and the hits
+    of a document are merged by its place in a stored copy of the documents.
     """
-    found = [_search_block(documents, block, HITS) for block in item_blocks(benchmark, block_words)]
-    if not found:
-        found = [_search_block(documents, [], HITS)]
-    if len(found) == 1:
-        return found[0]
+    rows = documents.select("doc_id", "text")
+    blocks = item_blocks(benchmark, block_words)
+    first, second = next(blocks, []), next(blocks, None)
+    if second is None:
+        return _search_block(rows, first, HITS)
+    stored = materialise(rows.withColumn("place", F.monotonically_increasing_id()), "numbered")
+    searched = stored.select(F.col("place").alias("doc_id"), "text")
+    found = [_search_block(searched, block, HITS) for block in chain([first, second], blocks)]
     together = found[0]
     for more in found[1:]:
         together = together.unionByName(more)
@@ -315,8 +320,9 @@ def contamination(documents: DataFrame, benchmark: DataFrame, block_words: int =
              THEN concat(slice(done, 1, size(done) - 1), array(named_struct('starts', element_at(done, -1).starts,
                          'stops', greatest(element_at(done, -1).stops, x.stops))))
              ELSE concat(done, array(x)) END)"""
-    return merged.withColumn("joined", F.expr(joined)).selectExpr(
-        "doc_id",
+    merged = merged.withColumn("joined", F.expr(joined)).withColumnRenamed("doc_id", "place")
+    return merged.join(stored.select("place", "doc_id"), "place").selectExpr(
+        "CAST(doc_id AS BIGINT) AS doc_id",
         "n_words",
         "joined.starts AS starts",
         "joined.stops AS stops",
