@@ -191,9 +191,9 @@ def _compare_small(rows: DataFrame, similarity: float) -> DataFrame:
             ends = np.searchsorted(buckets, buckets, side="right")
             lefts, rights = [], []
             place = np.arange(len(ids))
-            # All pairs of a bucket, at most SMALL * 512 of them at a time.
-            for begin in range(0, len(ids), 512):
-                own = place[begin : begin + 512]
+            # All pairs of a bucket, at most SMALL * 128 of them at a time.
+            for begin in range(0, len(ids), 128):
+                own = place[begin : begin + 128]
                 after = ends[own] - own - 1
                 left, right = np.repeat(own, after), ranges(own + 1, after)
                 good = _similar(flat[left], flat[right], sizes[left], sizes[right], similarity)
@@ -245,7 +245,9 @@ def _compare_large(rows: DataFrame, similarity: float) -> DataFrame:
 
     def compare(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            # A row holds two blocks of vectors; one at a time becomes Python objects.
+            for place in range(batch.num_rows):
+                row = batch.slice(place, 1).to_pylist()[0]
                 ids, sizes = (np.frombuffer(row[c] + row[f"other_{c}"], np.int64) for c in ("ids", "sizes"))
                 flat = np.frombuffer(row["vectors"] + row["other_vectors"], np.uint32).reshape(-1, COORDINATES)
                 own = len(row["ids"]) // 8
