@@ -228,3 +228,26 @@ def test_outliers_are_rejected_and_clean_documents_kept(spark, documents_from):
 def test_chi_square_quantiles():
     assert quality.chi_square_quantile(0.975, 6) == pytest.approx(14.449, abs=1e-3)
     assert quality.chi_square_quantile(0.5, 2) == pytest.approx(2 * np.log(2))
+
+
+def test_blocks_of_a_benchmark_keep_repeated_and_missing_ids(spark):
+    draw = random.Random(11)
+    words = "alpha beta gamma delta epsilon zeta".split()
+    items = [(i, " ".join(draw.choice(words) for _ in range(draw.choice([3, 12, 15])))) for i in range(6)]
+    whole = " ".join(text for _, text in items)
+    texts = [whole, whole, "nothing here", whole[: len(whole) // 2], items[3][1], None]
+    ids = [1, 1, None, None, 7, None]
+    documents = spark.createDataFrame(list(zip(ids, texts)), "doc_id BIGINT, text STRING").repartition(2)
+    benchmark = spark.createDataFrame(items, "item_id BIGINT, text STRING")
+    wanted = sorted((repr(row) for row in decontamination.brute_force(list(zip(ids, texts)), items)))
+    for block_words in (1, 20, 10_000):
+        found = decontamination.digest(decontamination.contamination(documents, benchmark, block_words))
+        assert sorted(repr(tuple(row)) for row in found.collect()) == wanted
+
+
+def test_encoding_and_decoding_in_one_pass(spark, documents_from):
+    documents = documents_from([*ODD_TEXTS, *random_texts(50)])
+    made = lexicon.compile_lexicon(documents)
+    both, apart = lexicon.encode_and_decode(documents, made), lexicon.decode(lexicon.encode(documents, made))
+    assert both.schema == apart.schema
+    assert sorted(map(repr, both.collect())) == sorted(map(repr, apart.collect()))

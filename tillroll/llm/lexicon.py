@@ -282,14 +282,8 @@ def compile_lexicon(documents: DataFrame, path: str | None = None, limit: int =
     return Lexicon.flat(frequent_words(documents, limit), byte_bpe.load(path))
 
 
-def encode(documents: DataFrame, lexicon: np.ndarray, path: str | None = None) -> DataFrame:
-    """``documents`` (all columns) with ``ids ARRAY<INT>``, the encoding of ``text`` without added tokens.
-
-    Special tokens written in a text are recognised. NULL and empty texts have no ids. A column of the name ``ids``
-    is replaced. No shuffle.
-    """
-    kept = [name for name in documents.columns if name != "ids"]
-    sent = documents.sparkSession.sparkContext.broadcast(lexicon.tobytes())
+def _encoding(sent, path: str | None, kept: list[str]):
+    """What a task does to encode the batches of ``documents``."""
     made = []
 
     def run(batches):
@@ -300,9 +294,35 @@ def encode(documents: DataFrame, lexicon: np.ndarray, path: str | None = None) -
             ids = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat))
             yield pa.RecordBatch.from_arrays([*(piece.column(n) for n in kept), ids], names=[*kept, "ids"])
 
-    fields = [field for field in documents.schema.fields if field.name in kept]
-    schema = T.StructType([*fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    return documents.select([F.col(f"`{name}`") for name in kept]).mapInArrow(run, schema)
+    return run
+
+
+def _with(documents: DataFrame, added: dict[str, T.DataType]) -> tuple[list[str], DataFrame, T.StructType]:
+    """The columns that stay beside the ``added`` ones, the frame of those, and the schema of both."""
+    fields = [field for field in documents.schema.fields if field.name not in added]
+    kept = [field.name for field in fields]
+    schema = T.StructType([*fields, *(T.StructField(name, kind) for name, kind in added.items())])
+    return kept, documents.select([F.col(f"`{name}`") for name in kept]), schema
+
+
+def encode(documents: DataFrame, lexicon: np.ndarray, path: str | None = None) -> DataFrame:
+    """``documents`` (all columns) with ``ids ARRAY<INT>``, the encoding of ``text`` without added tokens.
+
+    Special tokens written in a text are recognised. NULL and empty texts have no ids. A column of the name ``ids``
+    is replaced. No shuffle.
+    """
+    kept, rows, schema = _with(documents, {"ids": T.ArrayType(T.IntegerType())})
+    sent = documents.sparkSession.sparkContext.broadcast(lexicon.tobytes())
+    return rows.mapInArrow(_encoding(sent, path, kept), schema)
+
+
+def encode_and_decode(documents: DataFrame, lexicon: np.ndarray, path: str | None = None) -> DataFrame:
+    """``decode(encode(documents, lexicon))`` by one Python worker a task instead of two."""
+    added = {"ids": T.ArrayType(T.IntegerType()), "decoded": T.StringType()}
+    kept, rows, schema = _with(documents, added)
+    sent = documents.sparkSession.sparkContext.broadcast(lexicon.tobytes())
+    encoding, decoding = _encoding(sent, path, kept), _decoding(path, [*kept, "ids"])
+    return rows.mapInArrow(lambda batches: decoding(encoding(batches)), schema)
 
 
 @lru_cache(2)
@@ -311,12 +331,8 @@ def _spellings(path: str | None) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(tokens), np.uint8), offsets_of([len(token) for token in tokens])
 
 
-def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
-    """``encoded`` (all columns) with ``decoded``, the text that ``ids`` spell, special tokens written out.
-
-    Bytes that are no UTF-8 become replacement characters; NULL ids give NULL. No shuffle.
-    """
-    kept = [name for name in encoded.columns if name != "decoded"]
+def _decoding(path: str | None, kept: list[str]):
+    """What a task does to decode batches with ``ids``."""
 
     def run(batches):
         data, places = _spellings(path)
@@ -335,9 +351,16 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
                     [*(part.column(n) for n in kept), pa.array(texts, pa.string())], names=[*kept, "decoded"]
                 )
 
-    fields = [field for field in encoded.schema.fields if field.name in kept]
-    schema = T.StructType([*fields, T.StructField("decoded", T.StringType())])
-    return encoded.select([F.col(f"`{name}`") for name in kept]).mapInArrow(run, schema)
+    return run
+
+
+def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
+    """``encoded`` (all columns) with ``decoded``, the text that ``ids`` spell, special tokens written out.
+
+    Bytes that are no UTF-8 become replacement characters; NULL ids give NULL. No shuffle.
+    """
+    kept, rows, schema = _with(encoded, {"decoded": T.StringType()})
+    return rows.mapInArrow(_decoding(path, kept), schema)
 
 
 def digest(decoded: DataFrame) -> DataFrame:
