@@ -36,8 +36,7 @@ def pii_pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts become token ids; ``lossless`` says that decoding gives the text back."""
-    encoded = lexicon.encode(docs, lexicon.compile_lexicon(docs))
-    return lexicon.decode(encoded).select(
+    return lexicon.encode_and_decode(docs, lexicon.compile_lexicon(docs)).select(
         "doc_id",
         "lang",
         "source",
