@@ -38,14 +38,21 @@ def test_ids_are_the_librarys(limit):
         assert encoded(table, texts[i : i + 400]) == LIBRARY.encode(texts[i : i + 400], add_eos=True)
 
 
-def test_each_distinct_chunk_is_segmented_once():
-    model = piece_encoding.load()
+def test_each_distinct_chunk_is_segmented_once(monkeypatch):
+    model = piece_encoding.PieceModel(public_tokenizers.path(piece_encoding.MODEL))
+    seen, segment = [], model.segment
+    monkeypatch.setattr(model, "segment", lambda chunk: seen.append(chunk) or segment(chunk))
     texts = random_texts(300, 5)
     table = ChunkTable(model)
     table.encode(texts)
     table.encode(texts)
     chunks = [chunk for text in texts for some in model.chunks(text) for chunk in some]
-    assert table.segmented == len(set(chunks)) < len(chunks)
+    assert len(seen) == len(set(seen)) == table.segmented
+    assert set(chunks) <= set(table.numbers) and len(set(chunks)) < len(chunks)
+    # What was not segmented whole is a word and the marks after it.
+    for chunk in set(chunks) - set(seen):
+        word = chunk.rstrip(piece_encoding._MARKS)
+        assert word in table.numbers and chunk[len(word) :] in table.numbers
 
 
 def test_chunks_join_to_the_marked_text(monkeypatch):

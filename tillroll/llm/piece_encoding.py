@@ -28,13 +28,15 @@ from tillroll.llm.batches import offsets_of, pieces, ranges
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
-#: Chunks that a task's table holds before it starts afresh, and characters of chunks kept in it.
-TABLE_CHUNKS = 1 << 18
-TABLE_CHARS = 1 << 23
+#: Chunks that a task's table holds before it starts afresh, and characters of chunks kept in it; about 250 MB.
+TABLE_CHUNKS = 1 << 20
+TABLE_CHARS = 1 << 24
 #: Characters of a text that are cut into chunks at once.
 _SPAN = 1 << 20
 #: Longer chunks are looked through for places that no merge can cross.
 _LONG = 64
+#: Marks after words. A chunk that ends in some is looked up without them, where no merge crosses the place.
+_MARKS = ".,;:!?#$%&*()[]{}<>|\"'-"
 _ROWS = 256
 _PLACE = 40
 
@@ -199,17 +201,36 @@ class ChunkTable:
         self.numbers: dict[str, int] = {}
         self.ids, self.ends, self.held = array("i"), array("q", [0]), 0
 
+    def _add(self, chunk: str, ids: array) -> None:
+        self.numbers[chunk] = len(self.numbers)
+        self.ids.extend(ids)
+        self.ends.append(len(self.ids))
+        self.held += len(chunk)
+
+    def _known(self, chunk: str) -> array:
+        """The ids of a chunk, which is segmented if the table has it not."""
+        number = self.numbers.get(chunk)
+        if number is None:
+            self.segmented += 1
+            ids = array("i", self.model.segment(chunk))
+            self._add(chunk, ids)
+            return ids
+        return self.ids[self.ends[number] : self.ends[number + 1]]
+
     def ids_of(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the chunks end to end, and how many each has."""
         if len(self.numbers) > self.limit or self.held > self.chars:
             self._clear()
         numbers = self.numbers
+        joined = self.model.joined
         for chunk in set(chunks).difference(numbers):
-            numbers[chunk] = len(numbers)
-            self.ids.extend(self.model.segment(chunk))
-            self.ends.append(len(self.ids))
-            self.held += len(chunk)
-            self.segmented += 1
+            if chunk in numbers:  # as a part of another by now
+                continue
+            size = len(chunk.rstrip(_MARKS))
+            if 0 < size < len(chunk) and chunk[size - 1 : size + 1] not in joined:
+                self._add(chunk, self._known(chunk[:size]) + self._known(chunk[size:]))
+            else:
+                self._known(chunk)
         own = np.fromiter(map(numbers.__getitem__, chunks), np.int64, len(chunks))
         ends = np.array(self.ends)
         starts, sizes = ends[own], ends[own + 1] - ends[own]
