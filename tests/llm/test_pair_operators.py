@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_fixtures import ODD_TEXTS, documents_from, passage, rows_of  # noqa: F401
 
@@ -212,6 +213,58 @@ def test_passages_whose_pieces_occur_in_different_earlier_documents_are_found(do
             assert row in [tuple(r)[1:7] for r in found if r["doc_id"] == doc]
 
 
+def changed(words, share, every, draw):
+    places = range(every - 1, len(words), every) if every else draw.sample(range(len(words)), round(len(words) * share))
+    return [f"new{draw.random()}" if i in set(places) else word for i, word in enumerate(words)]
+
+
+def test_changed_passages_are_found_in_unrelated_surroundings(documents_from):
+    draw = random.Random(11)
+
+    def fresh(size):
+        return [f"{draw.choice('abcdefgh')}{draw.randrange(10**9)}" for _ in range(size)]
+
+    cases = [(45, 0, 0), (50, 0.05, 0), (50, 0.1, 0), (50, 0.15, 0), (100, 0.1, 0), (100, 0.15, 0), (50, 0, 10), (100, 0, 7)]
+    pairs, texts = 60, []
+    for size, share, every in cases:
+        for _ in range(pairs):
+            words = fresh(size)
+            texts += [" ".join(fresh(60) + w + fresh(60)) for w in (words, changed(words, share, every, draw))]
+    found = chaining.shared_passages(documents_from(texts), 200_000).collect()
+    assert all(row["ref_id"] == row["doc_id"] - 1 and row["doc_id"] % 2 for row in found)
+    docs = {row["doc_id"] for row in found}
+    for number, case in enumerate(cases):
+        inside = {doc for doc in docs if doc // (2 * pairs) == number}
+        assert len(inside) >= 0.9 * pairs, case
+        # What is found covers the passage but for a few words at its ends.
+        rows = [row for row in found if row["doc_id"] in inside]
+        assert all(row["begin"] >= 50 and row["end"] <= 70 + case[0] and row["identity"] >= 0.8 for row in rows)
+
+
+def test_a_run_of_seeds_chains_as_its_seeds_do():
+    x = np.array([0, 5, 11, 40, 46, 20])
+    y = np.array([3, 8, 14, 50, 56, 2])
+    seeds = chaining.best_chains(x, y)[0]
+    runs = chaining.best_chains(np.array([0, 40, 20]), np.array([3, 50, 2]), np.array([11, 6, 0]))[0]
+    assert seeds == [0, 1, 2, 3, 4] and runs == [0, 1]
+
+
+def test_many_runs_are_aligned_as_one():
+    draw = random.Random(3)
+    rows = []
+    for _ in range(200):
+        size, x, room = draw.randint(1, 6), draw.randint(0, 20), draw.randint(0, 20)
+        own = np.array([draw.randrange(50) for _ in range(x + size + room)], np.uint32)
+        other = np.where([draw.random() < 0.8 for _ in own], own, 99).astype(np.uint32)[draw.randint(0, x) :]
+        y = x - (len(own) - len(other))
+        rows.append((own, other, x, y, size))
+    own, other = (pa.array([row[i].tobytes() for row in rows], pa.binary()) for i in (0, 1))
+    x, y, sizes = (np.array([row[i] for row in rows]) for i in (2, 3, 4))
+    many = np.array(chaining.align_runs(own, other, x, y, sizes)).T.tolist()
+    each = [chaining.align(a, b, *(np.array([n]) for n in numbers)) for a, b, *numbers in rows]
+    assert many == [list(row) for row in each]
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_chains_are_the_best(seed):
     draw = random.Random(seed)
