@@ -133,5 +133,82 @@ QUALIFY rank <= 5
 """
 
 
+#: Windows of all items, and those of the same sizes of all documents, joined as text.
+DECONTAMINATION = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS place, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+),
+i AS (
+  SELECT item_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+),
+item_windows AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS size, array_to_string(w[k : k + least(10, len(w)) - 1], ' ') AS form
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS k FROM i WHERE len(w) > 0)
+),
+doc_windows AS (
+  SELECT place, size, k, array_to_string(w[k : k + size - 1], ' ') AS form
+  FROM (SELECT place, w, size, unnest(range(1, len(w) - size + 2)) AS k
+        FROM d JOIN (SELECT DISTINCT size FROM item_windows) sizes ON len(w) >= size)
+),
+found AS (SELECT place, size, k, item_id FROM doc_windows JOIN item_windows USING (size, form)),
+hit AS (
+  SELECT place, count(DISTINCT word) AS n_hit
+  FROM (SELECT place, unnest(range(k, k + size)) AS word FROM (SELECT DISTINCT place, k, size FROM found))
+  GROUP BY place
+),
+named AS (
+  SELECT place, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+  FROM (SELECT DISTINCT place, CAST(item_id AS VARCHAR) AS name FROM found) GROUP BY place
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (place) LEFT JOIN named USING (place)
+"""
+
+
+#: 50-byte strings of each text as hexadecimal digits, and the smallest id that holds each. A removed run ends where the
+#: next covered string begins beyond the end of the one before.
+SUFFIX_DEDUP = """
+WITH d AS (SELECT row_number() OVER () AS place, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+strings AS (
+  SELECT place, doc_id, k, substr(h, 2 * k + 1, 100) AS s
+  FROM (SELECT place, doc_id, h, unnest(range(0, CAST(len(h) // 2 AS BIGINT) - 49)) AS k FROM d WHERE len(h) >= 100)
+),
+firsts AS (SELECT s, min(doc_id) AS first_id FROM strings GROUP BY s HAVING count(*) > 1),
+covered AS (
+  SELECT place, k, lag(k) OVER (PARTITION BY place ORDER BY k) AS before
+  FROM strings JOIN firsts USING (s) WHERE first_id < doc_id
+),
+runs AS (
+  SELECT place, min(k) AS a, max(k) + 50 AS b
+  FROM (SELECT place, k, sum(CASE WHEN before IS NULL OR k > before + 50 THEN 1 ELSE 0 END)
+                           OVER (PARTITION BY place ORDER BY k) AS run FROM covered)
+  GROUP BY place, run
+),
+kept AS (
+  SELECT place, b AS a, lead(a) OVER (PARTITION BY place ORDER BY a) AS b FROM runs
+  UNION ALL SELECT place, 0, min(a) FROM runs GROUP BY place
+),
+joined AS (
+  SELECT place, string_agg(substr(h, 2 * a + 1, 2 * (coalesce(b, len(h) // 2) - a)), '' ORDER BY a) AS h
+  FROM kept JOIN d USING (place) GROUP BY place
+),
+sums AS (SELECT place, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans FROM runs GROUP BY place)
+SELECT doc_id, CAST(len(d.h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(joined.h, d.h))) AS kept_sha256
+FROM d LEFT JOIN sums USING (place) LEFT JOIN joined USING (place)
+"""
+
+
 def oracles() -> dict[str, str]:
-    return {"op13_hard_negative_mining": HARD_NEGATIVES}
+    return {
+        "op3_suffix_array_dedup": SUFFIX_DEDUP,
+        "op10_benchmark_decontamination": DECONTAMINATION,
+        "op13_hard_negative_mining": HARD_NEGATIVES,
+    }
