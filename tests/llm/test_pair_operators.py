@@ -213,6 +213,20 @@ def test_passages_whose_pieces_occur_in_different_earlier_documents_are_found(do
             assert row in [tuple(r)[1:7] for r in found if r["doc_id"] == doc]
 
 
+def test_passages_of_missing_and_repeated_ids_and_of_very_long_texts(documents_from):
+    common = passage(3, 70)
+    long = " ".join(passage(20 + i, 400) for i in range(60))
+    texts = [f"{common} {passage(10, 30)}", f"{long} {common}", f"{passage(11, 30)} {common}", common, f"{common} {passage(12, 9)}"]
+    # The third and the fourth are one document, the last has no id.
+    ids = "CASE WHEN doc_id = 3 THEN 2 WHEN doc_id < 4 THEN doc_id END AS doc_id"
+    frame = documents_from(texts).selectExpr(ids, "text", "score")
+    for shard_bytes in (500, 1 << 20):
+        found = chaining.shared_passages(frame, shard_bytes).collect()
+        assert {(row["doc_id"], row["ref_id"]) for row in found} == {(1, 0), (2, 0)}
+        at = [row for row in found if row["doc_id"] == 1]
+        assert [(row["begin"], row["end"], row["matched"]) for row in at] == [(24_000, 24_070, 70)]
+
+
 def changed(words, share, every, draw):
     places = range(every - 1, len(words), every) if every else draw.sample(range(len(words)), round(len(words) * share))
     return [f"new{draw.random()}" if i in set(places) else word for i, word in enumerate(words)]
