@@ -109,6 +109,40 @@ def test_large_groups_of_near_copies_lose_no_link(documents_from, monkeypatch):
     assert rows_of(jaccard_join.near_duplicates(documents_from(texts))) == plain_classes(texts)
 
 
+@pytest.mark.parametrize("settings", [{}, {"DENSE": 2.0, "SMALL": 48}, {"DENSE": 2.0, "SMALL": 48, "LEVELS": 3, "LARGE_BLOCK": 32}])
+def test_pairs_in_a_group_on_one_template_are_found(documents_from, monkeypatch, settings):
+    """Documents that resemble each other below the threshold, with pairs just above it among them: at the settings
+    of production, where their buckets are compared whole, and where they are split at every level."""
+    draw = random.Random(21)
+    template = passage(2, 200).split()
+    texts = []
+    for i in range(300):
+        places = draw.sample(range(5, 195, 6), 6)
+        base = list(template)
+        for place in places[:2]:
+            base[place] = f"base{i}x{place}"
+        for own in (places[2:4], places[4:]):
+            words = list(base)
+            for place in own:
+                words[place] = f"own{i}x{place}"
+            texts.append(" ".join(words))
+    wanted = plain_classes(texts)
+    assert sum(links > 0 for _, _, links in wanted) >= 600
+    for name, value in settings.items():
+        monkeypatch.setattr(jaccard_join, name, value)
+    assert rows_of(jaccard_join.near_duplicates(documents_from(texts))) == wanted
+
+
+def test_runs_reach_the_recall_over_all_splits():
+    draw = np.random.default_rng(3)
+    shared, runs = round(0.8 * jaccard_join.COORDINATES), jaccard_join.runs_for(0.9, 0.8)
+    assert jaccard_join.runs_for(0.9, 0.8, repeats=1) > runs >= jaccard_join.runs_for(0.9, 0.8, levels=1)
+    together = draw.binomial(shared * runs, 1 / shared, 20_000)
+    for _ in range(jaccard_join.LEVELS - 1):
+        together = draw.binomial(shared * jaccard_join.REPEATS * together, 1 / shared)
+    assert 0.89 <= (together > 0).mean() <= 0.97
+
+
 def test_one_document_of_each_class_stays(spark, documents_from):
     texts = corpus(seed=8, size=40)
     documents = documents_from(texts)

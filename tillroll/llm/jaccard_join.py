@@ -4,9 +4,12 @@
    agreement estimates the similarity; vectors are small, and all of the search works on them.
 2. Every run starts with all sets in one bucket. A bucket is split on sampled shared tokens: a (coordinate, value)
    pair is sampled by a hash of the bucket's path and the pair, so all sets that hold it choose the same child. A set
-   goes to 1 / similarity children on average. Buckets of one set are dropped, small buckets are compared by brute
-   force, larger ones are split again, and what is still large at the last level is compared block by block.
-   Runs are repeated until the chance to have missed a pair is below ``1 - recall``.
+   goes to 1 / similarity children on average. Buckets of one set are dropped and small buckets are compared by brute
+   force. Larger ones are split again, each ``REPEATS`` times over, so that a pair at the threshold is still together
+   somewhere with a probability that does not sink with the number of splits. Splitting cannot shrink a bucket whose
+   sets all resemble each other, as those of one template do: it is compared block by block at once, as is what is
+   still large at the last level. Runs are repeated until the chance to have missed a pair, all splits included, is
+   below ``1 - recall``.
 3. Pairs whose vectors agree well enough link sets to candidate components, as stars and never as all pairs.
 4. Within each component the exact similarity of all pairs is computed from the shingles, in blocks of bounded size.
    Only sums per set and spanning links leave a block.
@@ -29,9 +32,16 @@ SHINGLE = 5
 SIMILARITY = 0.8
 RECALL = 0.9999
 COORDINATES = 64
-#: Buckets up to this size are compared by brute force, and larger ones, in the end, in blocks of it.
+#: Buckets up to this size are compared by brute force.
 SMALL = 256
+#: Sets in a block of a larger bucket that is compared whole.
+LARGE_BLOCK = 512
 LEVELS = 6
+#: Splits of each large bucket.
+REPEATS = 3
+#: Mean share of a large bucket's sets in a child from which on splitting is given up: another split would add more
+#: rows than it takes sets out of the buckets.
+DENSE = 0.5
 #: Sets of a component in one block of the exact comparison.
 BLOCK = 128
 
@@ -102,15 +112,20 @@ def sketches(documents: DataFrame, size: int = SHINGLE) -> DataFrame:
     return documents.select("doc_id", "text").mapInArrow(sketch, schema)
 
 
-def runs_for(recall: float, similarity: float) -> int:
-    """Runs after which a pair at the threshold has shared a first bucket with probability ``recall``."""
+def runs_for(recall: float, similarity: float, levels: int = LEVELS, repeats: int = REPEATS) -> int:
+    """Runs after which a pair at the threshold has met in a compared bucket with probability ``recall``, if every
+    bucket on its way is split until the last level."""
     shared = similarity * COORDINATES
-    missed = (1 - 1 / shared) ** shared
+    lost = 0.0
+    for _ in range(levels - 1):
+        lost = (1 - (1 - lost) / shared) ** (shared * repeats)
+    missed = (1 - (1 - lost) / shared) ** shared
     return math.ceil(math.log(1 - recall) / math.log(missed))
 
 
-def _children(rows: DataFrame, similarity: float, roots: list[int] | None) -> DataFrame:
-    """Buckets of the next level: ``bucket`` and ``set_id``. ``roots`` starts runs; otherwise rows have a bucket."""
+def _children(rows: DataFrame, similarity: float, draws: list[int], split: bool) -> DataFrame:
+    """Buckets of the next level: ``parent``, ``bucket`` and ``set_id``, for each of ``draws``. With ``split``, ``rows``
+    have the ``bucket`` that is split; without, every draw starts a run, whose number is the parent."""
     limit = np.uint64(int(2**64 / (similarity * COORDINATES)))
     places = mix(np.arange(COORDINATES, dtype=np.uint64) + np.uint64(0x1000))
 
@@ -121,17 +136,27 @@ def _children(rows: DataFrame, similarity: float, roots: list[int] | None) -> Da
             ids = batch.column("set_id").to_numpy()
             table = np.frombuffer(b"".join(batch.column("vector").to_pylist()), np.uint32).reshape(-1, COORDINATES)
             tokens = mix(table.astype(np.uint64) + places)
-            if roots is None:
-                paths = [batch.column("bucket").to_numpy().astype(np.int64).view(np.uint64)[:, None]]
-            else:
-                paths = [mix(np.array([root], np.uint64))[:, None] for root in roots]
-            for path in paths:
-                drawn = mix(tokens ^ path)
+            for draw in draws:
+                start = mix(np.array([draw], np.uint64))
+                parents = batch.column("bucket").to_numpy() if split else np.full(len(ids), draw, np.int64)
+                path = mix(parents.view(np.uint64) ^ start) if split else start
+                drawn = mix(tokens ^ path.reshape(-1, 1))
                 row, column = np.nonzero(drawn < limit)
                 bucket = mix(drawn[row, column] + np.uint64(1)).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(ids[row])], names=["bucket", "set_id"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(parents[row]), pa.array(bucket), pa.array(ids[row])], names=["parent", "bucket", "set_id"]
+                )
+
+    return rows.mapInArrow(choose, "parent BIGINT, bucket BIGINT, set_id BIGINT")
 
-    return rows.mapInArrow(choose, "bucket BIGINT, set_id BIGINT")
+
+def _dense(children: DataFrame, parents: DataFrame) -> DataFrame:
+    """The ``bucket`` of those ``parents`` (``bucket``, ``members``) whose children hold ``DENSE`` of their sets or more,
+    in the mean over memberships."""
+    sizes = children.groupBy("parent", "bucket").agg(F.count(F.lit(1)).cast("double").alias("held"))
+    shares = sizes.groupBy("parent").agg((F.sum(F.col("held") * F.col("held")) / F.sum("held")).alias("held"))
+    met = parents.join(shares.withColumnRenamed("parent", "bucket"), "bucket")
+    return met.filter(F.col("held") >= DENSE * F.col("members")).select("bucket")
 
 
 def _similar(a: np.ndarray, b: np.ndarray, sizes_a, sizes_b, similarity: float) -> np.ndarray:
@@ -228,7 +253,7 @@ def _compare_large(rows: DataFrame, similarity: float) -> DataFrame:
                     names=["bucket", "block", "blocks", "ids", "sizes", "vectors"],
                 )
 
-    blocks = F.ceil(F.col("members") / SMALL).cast("int")
+    blocks = F.ceil(F.col("members") / LARGE_BLOCK).cast("int")
     spread = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
     spread = spread.withColumn("spot", F.xxhash64("bucket", "block"))
     packed = (
@@ -269,11 +294,11 @@ def candidate_links(sets: DataFrame, similarity: float = SIMILARITY, recall: flo
 
     ``sets`` has ``set_id`` (unique), ``n_shingles`` and ``vector``.
     """
-    roots = list(range(1, runs_for(recall, similarity) + 1))
-    keys = _children(sets.select("set_id", "vector"), similarity, roots)
+    runs = list(range(1, runs_for(recall, similarity) + 1))
+    keys = _children(sets.select("set_id", "vector"), similarity, runs, split=False)
     links = []
     for level in range(1, LEVELS + 1):
-        keys = materialise(keys.distinct() if level > 1 else keys, f"paths-{level}")
+        keys = materialise(keys.select("bucket", "set_id").distinct() if level > 1 else keys, f"paths-{level}")
         members = keys.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
         live = keys.join(members, "bucket").join(sets, "set_id")
         live = materialise(live.select("bucket", "set_id", "members", "n_shingles", "vector"), f"buckets-{level}")
@@ -283,8 +308,12 @@ def candidate_links(sets: DataFrame, similarity: float = SIMILARITY, recall: flo
             break
         if level == LEVELS:
             links.append(_compare_large(large, similarity))
-        else:
-            keys = _children(large.select("bucket", "set_id", "vector"), similarity, None)
+            break
+        children = _children(large.select("bucket", "set_id", "vector"), similarity, list(range(1, REPEATS + 1)), split=True)
+        children = materialise(children, f"children-{level}")
+        dense = materialise(_dense(children, members.filter(F.col("members") > SMALL)), f"dense-{level}")
+        links.append(_compare_large(large.join(dense, "bucket", "left_semi"), similarity))
+        keys = children.join(dense.withColumnRenamed("bucket", "parent"), "parent", "left_anti")
     together = links[0]
     for more in links[1:]:
         together = together.unionAll(more)
