@@ -6,9 +6,9 @@
    pair is sampled by a hash of the bucket's path and the pair, so all sets that hold it choose the same child. A set
    goes to 1 / similarity children on average. Buckets of one set are dropped and small buckets are compared by brute
    force. Larger ones are split again, each ``REPEATS`` times over, so that a pair at the threshold is still together
-   somewhere with a probability that does not sink with the number of splits. Splitting cannot shrink a bucket whose
-   sets all resemble each other, as those of one template do: it is compared block by block at once, as is what is
-   still large at the last level. Runs are repeated until the chance to have missed a pair, all splits included, is
+   somewhere with a probability that does not sink with the number of splits. A bucket whose children would be
+   more work than itself, such as one whose sets all resemble each other, is compared block by block at once, as is
+   what is still large at the last level. Runs are repeated until the chance to have missed a pair, all splits included, is
    below ``1 - recall``.
 3. Pairs whose vectors agree well enough link sets to candidate components, as stars and never as all pairs.
 4. Within each component the exact similarity of all pairs is computed from the shingles, in blocks of bounded size.
@@ -39,9 +39,9 @@ LARGE_BLOCK = 512
 LEVELS = 6
 #: Splits of each large bucket.
 REPEATS = 3
-#: Mean share of a large bucket's sets in a child from which on splitting is given up: another split would add more
-#: rows than it takes sets out of the buckets.
-DENSE = 0.5
+#: A row of the next level is shuffled and stored with its vector, which takes as long as comparing it with about this
+#: many others. A bucket is split only where that is less work than to compare it whole.
+ROW_WORK = 2048
 #: Sets of a component in one block of the exact comparison.
 BLOCK = 128
 
@@ -150,13 +150,14 @@ def _children(rows: DataFrame, similarity: float, draws: list[int], split: bool)
     return rows.mapInArrow(choose, "parent BIGINT, bucket BIGINT, set_id BIGINT")
 
 
-def _dense(children: DataFrame, parents: DataFrame) -> DataFrame:
-    """The ``bucket`` of those ``parents`` (``bucket``, ``members``) whose children hold ``DENSE`` of their sets or more,
-    in the mean over memberships."""
+def _not_worth_splitting(children: DataFrame, parents: DataFrame) -> DataFrame:
+    """The ``bucket`` of those ``parents`` (``bucket``, ``members``) whose ``children`` are no less work than they are
+    themselves: comparisons, and rows to bring together."""
     sizes = children.groupBy("parent", "bucket").agg(F.count(F.lit(1)).cast("double").alias("held"))
-    shares = sizes.groupBy("parent").agg((F.sum(F.col("held") * F.col("held")) / F.sum("held")).alias("held"))
-    met = parents.join(shares.withColumnRenamed("parent", "bucket"), "bucket")
-    return met.filter(F.col("held") >= DENSE * F.col("members")).select("bucket")
+    pairs = F.sum(F.col("held") * F.col("held")) / 2
+    work = sizes.groupBy("parent").agg((pairs + ROW_WORK * F.sum("held")).alias("work"))
+    met = parents.join(work.withColumnRenamed("parent", "bucket"), "bucket")
+    return met.filter(F.col("work") >= F.col("members").cast("double") * F.col("members") / 2).select("bucket")
 
 
 def _similar(a: np.ndarray, b: np.ndarray, sizes_a, sizes_b, similarity: float) -> np.ndarray:
@@ -306,14 +307,18 @@ def candidate_links(sets: DataFrame, similarity: float = SIMILARITY, recall: flo
         large = live.filter(F.col("members") > SMALL)
         if large.isEmpty():
             break
-        if level == LEVELS:
-            links.append(_compare_large(large, similarity))
+        # Below this size the rows of the children alone are more work, however they fall.
+        whole = F.lit(level == LEVELS) | (F.col("members") <= 2 * ROW_WORK * REPEATS / similarity)
+        parents = members.filter((F.col("members") > SMALL) & ~whole)
+        links.append(_compare_large(large.filter(whole), similarity))
+        large = large.filter(~whole)
+        if large.isEmpty():
             break
         children = _children(large.select("bucket", "set_id", "vector"), similarity, list(range(1, REPEATS + 1)), split=True)
         children = materialise(children, f"children-{level}")
-        dense = materialise(_dense(children, members.filter(F.col("members") > SMALL)), f"dense-{level}")
-        links.append(_compare_large(large.join(dense, "bucket", "left_semi"), similarity))
-        keys = children.join(dense.withColumnRenamed("bucket", "parent"), "parent", "left_anti")
+        ended = materialise(_not_worth_splitting(children, parents), f"ended-{level}")
+        links.append(_compare_large(large.join(ended, "bucket", "left_semi"), similarity))
+        keys = children.join(ended.withColumnRenamed("bucket", "parent"), "parent", "left_anti")
     together = links[0]
     for more in links[1:]:
         together = together.unionAll(more)
