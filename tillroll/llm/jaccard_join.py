@@ -231,27 +231,42 @@ def _compare_small(rows: DataFrame, similarity: float) -> DataFrame:
     return arranged.mapInArrow(compare, "a BIGINT, b BIGINT").distinct()
 
 
+def _linked_within(flat: np.ndarray, sizes: np.ndarray, similarity: float) -> np.ndarray:
+    """The first vector that each vector is linked to, over other links of the same block where need be."""
+    lefts, rights = [], []
+    for i in range(len(flat)):
+        found = i + 1 + np.flatnonzero(_similar(flat[i], flat[i + 1 :], sizes[i], sizes[i + 1 :], similarity))
+        lefts.append(np.full(len(found), i))
+        rights.append(found)
+    return _stars(len(flat), np.concatenate(lefts), np.concatenate(rights))
+
+
 def _compare_large(rows: DataFrame, similarity: float) -> DataFrame:
-    """Links within buckets of any size: blocks of their sets are packed into one row each, and every two blocks of
-    a bucket meet in one row."""
-    packed_schema = "bucket BIGINT, block INT, blocks INT, ids BINARY, sizes BINARY, vectors BINARY"
+    """Links within buckets of any size: blocks of their sets are packed into one row each, with the links inside, and
+    every two blocks of a bucket meet in one row. What is linked inside a block is one there, so that a group in
+    which all sets are similar makes a link a set and a link for two blocks."""
+    packed_schema = "bucket BIGINT, block INT, blocks INT, ids BINARY, sizes BINARY, labels BINARY, vectors BINARY"
 
     def pack(batches):
         for table in _whole_groups(batches, "spot"):
             spots = table.column("spot").to_numpy()
             for begin in np.unique(spots, return_index=True)[1].tolist():
                 part = table.slice(begin, int(np.searchsorted(spots, spots[begin], side="right")) - begin)
-                first = part.slice(0, 1).to_pylist()[0]
+                first = part.select(["bucket", "block", "blocks"]).slice(0, 1).to_pylist()[0]
+                sizes = part.column("n_shingles").to_numpy()
+                vector = b"".join(part.column("vector").to_pylist())
+                labels = _linked_within(np.frombuffer(vector, np.uint32).reshape(-1, COORDINATES), sizes, similarity)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([first["bucket"]]),
                         pa.array([first["block"]], pa.int32()),
                         pa.array([first["blocks"]], pa.int32()),
                         pa.array([part.column("set_id").to_numpy().tobytes()], pa.binary()),
-                        pa.array([part.column("n_shingles").to_numpy().tobytes()], pa.binary()),
-                        pa.array([b"".join(part.column("vector").to_pylist())], pa.binary()),
+                        pa.array([sizes.tobytes()], pa.binary()),
+                        pa.array([labels.astype(np.int64).tobytes()], pa.binary()),
+                        pa.array([vector], pa.binary()),
                     ],
-                    names=["bucket", "block", "blocks", "ids", "sizes", "vectors"],
+                    names=["bucket", "block", "blocks", "ids", "sizes", "labels", "vectors"],
                 )
 
     blocks = F.ceil(F.col("members") / LARGE_BLOCK).cast("int")
@@ -264,30 +279,37 @@ def _compare_large(rows: DataFrame, similarity: float) -> DataFrame:
         .mapInArrow(pack, packed_schema)
     )
     packed = materialise(packed, "packed_blocks")
-    left = packed.select("bucket", "block", "ids", "sizes", "vectors", F.explode(F.expr("sequence(block, blocks - 1)")).alias("other"))
-    right = packed.select(
-        "bucket", F.col("block").alias("other"), *[F.col(c).alias(f"other_{c}") for c in ("ids", "sizes", "vectors")]
-    )
+    columns = ("ids", "sizes", "labels", "vectors")
+    later = F.explode(F.expr("sequence(block + 1, blocks - 1)"))
+    left = packed.filter("block + 1 < blocks").select("bucket", "block", *columns, later.alias("other"))
+    right = packed.select("bucket", F.col("block").alias("other"), *[F.col(c).alias(f"other_{c}") for c in columns])
+
+    def inside(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                yield _edge_batch(*(np.frombuffer(row[c], np.int64) for c in ("ids", "labels")))
 
     def compare(batches):
         for batch in batches:
             # A row holds two blocks of vectors; one at a time becomes Python objects.
             for place in range(batch.num_rows):
                 row = batch.slice(place, 1).to_pylist()[0]
-                ids, sizes = (np.frombuffer(row[c] + row[f"other_{c}"], np.int64) for c in ("ids", "sizes"))
-                flat = np.frombuffer(row["vectors"] + row["other_vectors"], np.uint32).reshape(-1, COORDINATES)
-                own = len(row["ids"]) // 8
+                ids, sizes, labels, other_ids, other_sizes, other_labels = (
+                    np.frombuffer(row[f"{side}{c}"], np.int64) for side in ("", "other_") for c in columns[:3]
+                )
+                flat, other = (np.frombuffer(row[c], np.uint32).reshape(-1, COORDINATES) for c in ("vectors", "other_vectors"))
                 lefts, rights = [], []
-                for i in range(own):
-                    good = _similar(flat[i], flat, sizes[i], sizes, similarity)
-                    good[: i + 1] = False
-                    found = np.flatnonzero(good)
-                    lefts.append(np.full(len(found), i))
-                    rights.append(found)
-                yield _edge_batch(ids, _stars(len(ids), np.concatenate(lefts), np.concatenate(rights)))
+                for i in range(len(ids)):
+                    found = other_labels[_similar(flat[i], other, sizes[i], other_sizes, similarity)]
+                    lefts.append(np.full(len(found), labels[i]))
+                    rights.append(len(ids) + found)
+                both = np.concatenate([ids, other_ids])
+                yield _edge_batch(both, _stars(len(both), np.concatenate(lefts), np.concatenate(rights)))
 
     met = left.join(right, ["bucket", "other"])
-    return met.mapInArrow(compare, "a BIGINT, b BIGINT").filter("a <> b").distinct()
+    within = packed.select("ids", "labels").mapInArrow(inside, "a BIGINT, b BIGINT")
+    across = met.mapInArrow(compare, "a BIGINT, b BIGINT")
+    return within.unionAll(across).filter("a <> b").distinct()
 
 
 def candidate_links(sets: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
