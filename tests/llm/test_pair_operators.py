@@ -247,6 +247,26 @@ def test_passages_whose_pieces_occur_in_different_earlier_documents_are_found(do
             assert row in [tuple(r)[1:7] for r in found if r["doc_id"] == doc]
 
 
+@pytest.mark.parametrize("settings", [{}, {"BLOCK": 3, "TILE": 2, "FEW": 0}, {"PAIRS": 2}])
+def test_passages_whose_seeds_are_first_and_last_elsewhere_are_found(documents_from, monkeypatch, settings):
+    """Every piece of a passage occurs in a document before the first and in one between the two that hold it."""
+    for name, value in settings.items():
+        monkeypatch.setattr(chaining, name, value)
+    words = passage(5, 60).split()
+    changed = [f"changed{i}" if i % 10 == 9 else word for i, word in enumerate(words)]
+
+    def pieces(first):
+        return [f"{passage(first + i, 30)} {' '.join(words[i : i + 14])} {passage(first + 100 + i, 30)}" for i in range(0, 50, 5)]
+
+    early, late = pieces(200), pieces(500)
+    texts = [*early, f"{passage(300, 40)} {' '.join(words)} {passage(301, 40)}", *late]
+    texts += [f"{passage(302, 40)} {' '.join(changed)} {passage(303, 40)}"]
+    for shard_bytes in (2_000, 1 << 20):
+        found = chaining.shared_passages(documents_from(texts), shard_bytes).collect()
+        assert {(row["doc_id"], row["ref_id"]) for row in found} == {(len(texts) - 1, len(early))}
+        assert all(row["begin"] <= 42 and row["end"] >= 97 for row in found) and len(found) == 1
+
+
 def test_passages_of_missing_and_repeated_ids_and_of_very_long_texts(documents_from):
     common = passage(3, 70)
     long = " ".join(passage(20 + i, 400) for i in range(60))

@@ -8,6 +8,9 @@
    occurrence, and a seed is one row per shard however frequent it is. The ``MIN_WORDS`` words from a seed on are
    exchanged in the same way: their first place matches all seeds within them, so a passage whose pieces occur in
    different earlier documents is matched to the first document that holds so much of it in one piece.
+   Seeds in ``MANY`` documents or more have other earlier occurrences than these. All of them are compared by the
+   ``AROUND`` words on either side, in blocks, and each occurrence is matched to those that no other surpasses, the
+   first document of equal ones; occurrences in the same words are one class, matched to its first.
 2. *Chains.* Matches of a document with one anchor document that follow each other on one diagonal are a run. Runs are
    chained: the best sequence that rises in both, where a run gains its words and a gap costs in proportion to its length
    in both documents. Prefix maxima in a Fenwick tree give the best predecessor of each run.
@@ -41,6 +44,14 @@ MAX_GAP = 60
 MIN_WORDS = 40
 MIN_IDENTITY = 0.8
 SHARD_BYTES = 8 << 20
+#: With this many documents a seed has occurrences besides the first and the one before.
+MANY = 4
+#: Words on either side of a seed by which its occurrences are compared, and how many of both must be equal.
+AROUND, ALIKE = 20, 16
+#: Documents of a seed whose occurrences a task holds at a time, occurrences compared with all of them at a time.
+BLOCK, TILE = 2048, 256
+#: Seeds with so many occurrences are compared together, so many pairs at a time.
+FEW, PAIRS = 64, 1 << 16
 
 #: Words that a chain may gain at either end: a seed in the middle of a passage of the least length reaches both.
 _EXTEND = MIN_WORDS // 2
@@ -232,14 +243,17 @@ def _blobs(numbers: np.ndarray, counts: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(kind, len(counts), buffers)
 
 
-_SENT = "part INT, shard INT, seeds BINARY, docs BINARY, places BINARY, mask BINARY, last_docs BINARY, last_places BINARY"
+_SENT = "part INT, shard INT, seeds BINARY, docs BINARY, places BINARY, mask BINARY, last_docs BINARY, last_places BINARY, numbers BINARY"
 _SIDE = (
-    "shard INT, kind INT, part INT, mask BINARY, docs BINARY, places BINARY, last_docs BINARY, last_places BINARY"
+    "shard INT, kind INT, part INT, mask BINARY, docs BINARY, places BINARY, last_docs BINARY, last_places BINARY,"
+    " often BINARY, numbers BINARY"
 )
-_CHAINS = (
-    "doc_id BIGINT, begin BIGINT, ref_id BIGINT, ref_shard INT, ref_begin BIGINT, ref_end BIGINT,"
-    " words BINARY, xs BINARY, ys BINARY, sizes BINARY, extra INT"
+_LINKS = (
+    "doc_id BIGINT, begin BIGINT, end BIGINT, ref_id BIGINT, ref_shard INT, ref_begin BIGINT, ref_end BIGINT,"
+    " xs BINARY, ys BINARY, sizes BINARY, extra INT"
 )
+_CHAINS = f"{_LINKS}, words BINARY, seed BIGINT, number INT"
+_MATCHES = "doc_id BIGINT, ref_id BIGINT, x BIGINT, y BIGINT"
 _FETCHED = "ref_id BIGINT, ref_begin BIGINT, ref_end BIGINT, ref_words BINARY"
 _COPIES, _ANCHORS = range(2)
 
@@ -261,6 +275,15 @@ def _ends(seeds: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return seeds[first], places[first], places[last]
 
 
+def _documents(seeds: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """In how many documents each distinct seed is."""
+    order = np.lexsort((docs, seeds))
+    seeds, docs = seeds[order], docs[order]
+    new = np.append(True, seeds[1:] != seeds[:-1])[: len(seeds)]
+    fresh = new | np.append(True, docs[1:] != docs[:-1])[: len(seeds)]
+    return np.add.reduceat(fresh.astype(np.int64), np.flatnonzero(new)) if len(seeds) else np.zeros(0, np.int64)
+
+
 def _all_seeds(words: Words) -> tuple[np.ndarray, np.ndarray, int]:
     """Hashes and places of seeds and, after so many of these, of long seeds."""
     seeds, places = words.seeds()
@@ -275,14 +298,16 @@ def _parts(keys: np.ndarray, groups: int) -> list[np.ndarray]:
 
 
 def _merge(table: pa.Table) -> pa.Table:
-    """For each shard, which of its seeds a lower shard has, the first place of these and the last one below the shard."""
+    """For each shard, which of its seeds a lower shard has, the first place of these and the last one below the shard;
+    and which of them are in ``MANY`` documents of all shards, and in how many."""
     rows = sorted(table.to_pylist(), key=lambda row: row["shard"])
     seeds, docs = (np.concatenate([np.frombuffer(r[n], t) for r in rows]) for n, t in (("seeds", "u8"), ("docs", "i8")))
     places = np.concatenate([np.frombuffer(row["places"], np.int32) for row in rows])
     later = np.concatenate(
         [np.unpackbits(np.frombuffer(r["mask"], np.uint8), count=len(r["seeds"]) // 8).astype(bool) for r in rows]
     )
-    last_docs, last_places = docs.copy(), places.copy()
+    last_docs, last_places, numbers = docs.copy(), places.copy(), np.ones(len(docs), np.int64)
+    numbers[later] = np.concatenate([np.frombuffer(row["numbers"], np.int32) for row in rows])
     last_docs[later] = np.concatenate([np.frombuffer(row["last_docs"], np.int64) for row in rows])
     last_places[later] = np.concatenate([np.frombuffer(row["last_places"], np.int32) for row in rows])
     order = np.argsort(seeds, kind="stable")  # lower shards first
@@ -290,14 +315,19 @@ def _merge(table: pa.Table) -> pa.Table:
     first, before = np.empty(len(seeds), np.int64), np.empty(len(seeds), np.int64)
     first[order] = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
     before[order] = np.append(order[:1], order[:-1])
+    totals = np.empty(len(seeds), np.int32)
+    totals[order] = np.add.reduceat(numbers[order], np.flatnonzero(new))[np.cumsum(new) - 1]
     out, begin = [], 0
     for row in rows:
         end = begin + len(row["seeds"]) // 8
+        own_totals = totals[begin:end]
+        often = own_totals >= MANY
         own = first[begin:end]
         lower = own < begin
         last = before[begin:end][lower]
         blobs = [np.packbits(lower).tobytes(), docs[own[lower]].tobytes(), places[own[lower]].tobytes()]
-        out.append((row["shard"], _ANCHORS, row["part"], *blobs, last_docs[last].tobytes(), last_places[last].tobytes()))
+        blobs += [last_docs[last].tobytes(), last_places[last].tobytes()]
+        out.append((row["shard"], _ANCHORS, row["part"], *blobs, np.packbits(often).tobytes(), own_totals[often].tobytes()))
         begin = end
     return _table(_SIDE, out)
 
@@ -327,6 +357,7 @@ def _chain_shard(words: Words, side: pa.Table, groups: int, bounds: np.ndarray)
     anchor_doc, anchor_place = words.place(firsts)
     # The last place below the shard, or else no other than the anchor.
     below_doc, below_place = anchor_doc.copy(), anchor_place.copy()
+    numbers = np.zeros(len(keys), np.int32)
     answers = {row["part"]: row for row in side.to_pylist() if row["kind"] == _ANCHORS}
     for part, own in enumerate(_parts(keys, groups)):
         if len(own):
@@ -336,7 +367,10 @@ def _chain_shard(words: Words, side: pa.Table, groups: int, bounds: np.ndarray)
             anchor_place[lower] = np.frombuffer(answer["places"], np.int32)
             below_doc[lower] = np.frombuffer(answer["last_docs"], np.int64)
             below_place[lower] = np.frombuffer(answer["last_places"], np.int32)
+            often = own[np.unpackbits(np.frombuffer(answer["often"], np.uint8), count=len(own)).astype(bool)]
+            numbers[often] = np.frombuffer(answer["numbers"], np.int32)
     at = np.searchsorted(keys, seeds)
+    often = (seeds[:short], places[:short], numbers[at[:short]])
     doc, x = words.place(places)
     ref, y = anchor_doc[at], anchor_place[at]
     matches = [(np.arange(short), ref[:short], y[:short], 0)]
@@ -357,7 +391,133 @@ def _chain_shard(words: Words, side: pa.Table, groups: int, bounds: np.ndarray)
     same &= (x[order][1:] == x[order][:-1]) & (y[order][1:] == y[order][:-1])
     order = order[np.append(True, ~same)] if len(order) else order
     doc, ref, x, y, places, extra = doc[order], ref[order], x[order], y[order], places[order], extra[order]
-    return _chain_table(words, bounds, *_runs(doc, ref, x, y, places, extra))
+    runs = _runs(doc, ref, x, y, places, extra)
+    return pa.concat_tables([_chain_table(words, bounds, *runs), _occurrences(words, *often, runs)])
+
+
+def _occurrences(words: Words, seeds: np.ndarray, places: np.ndarray, numbers: np.ndarray, runs: tuple) -> pa.Table:
+    """Occurrences of seeds in ``MANY`` documents, with 16 bits of each word around them; 0 is beyond the text. Those in
+    a run that has all these words need no other partner and are ``extra``, but may be one."""
+    often = np.flatnonzero(numbers >= MANY)
+    seeds, places, numbers = seeds[often], places[often], numbers[often]
+    doc, x = words.place(places)
+    low = places - x
+    high = words.offsets[np.searchsorted(words.offsets[1:], places, side="right") + 1]
+    around = np.zeros((len(often), 2 * AROUND), np.uint16)
+    for column, step in enumerate([*range(-AROUND, 0), *range(K, K + AROUND)]):
+        inside = np.flatnonzero((places + step >= low) & (places + step < high))
+        # 0 and 1 are no words.
+        around[inside, column] = words.hashes[(places + step)[inside]] % np.uint64(65534) + np.uint64(2)
+    begins, ends = runs[5] + runs[2], runs[5] + runs[2] + runs[4] + K
+    by_begin = np.argsort(begins)
+    reach = np.append(-1, np.maximum.accumulate(ends[by_begin]))
+    reached = reach[np.searchsorted(begins[by_begin], np.maximum(low, places - AROUND), side="right")]
+    covered = reached >= np.minimum(high, places + K + AROUND)
+    # Of a document's occurrences in the same words the first will do.
+    same = _folded(around)
+    order = np.lexsort((x, same, doc, seeds))
+    kept = np.append(True, (np.diff(seeds[order]) != 0) | (np.diff(doc[order]) != 0) | (np.diff(same[order]) != 0))
+    order = order[kept[: len(order)]]
+    columns = {
+        "doc_id": doc[order],
+        "begin": x[order],
+        "extra": covered[order].astype(np.int32),
+        "words": _blobs(around[order].reshape(-1), np.full(len(order), 2 * AROUND)),
+        "seed": seeds[order].view(np.int64),
+        "number": numbers[order],
+    }
+    return _filled(columns, len(order))
+
+
+def _folded(around: np.ndarray) -> np.ndarray:
+    """One number for the words around each occurrence."""
+    out = np.zeros(len(around), np.uint64)
+    for column in range(around.shape[1]):
+        out = mix(out + around[:, column] + np.uint64(column + 1))
+    return out
+
+
+def _filled(columns: dict, count: int) -> pa.Table:
+    """A table with all columns of ``_CHAINS``, NULL where there are none."""
+    empty = _table(_CHAINS, [])
+    found = {n: pa.array(columns[n]).cast(empty.schema.field(n).type) if n in columns else pa.nulls(count, empty.schema.field(n).type) for n in empty.column_names}
+    return pa.table(found)
+
+
+def _rivals(table: pa.Table) -> pa.Table:
+    """Matches of the occurrences of some seeds, block by block, as the module's docstring tells."""
+    names = ("seed", "doc_id", "begin", "extra", "low", "high", "blocks")
+    seed, doc, x, covered, low, high, blocks = (table.column(name).to_numpy() for name in names)
+    around = np.frombuffer(b"".join(table.column("words").to_pylist()), np.uint16).reshape(len(seed), 2 * AROUND)
+    order = np.lexsort((x, doc, seed, high, low))
+    seed, doc, x, covered, low, high, blocks, around = (
+        column[order] for column in (seed, doc, x, covered, low, high, blocks, around)
+    )
+    places = np.arange(len(seed))
+    cut = np.append(True, (np.diff(seed) != 0) | (np.diff(low) != 0) | (np.diff(high) != 0))
+    group = np.cumsum(cut) - 1
+    # The first occurrence in the same words stands for all of them.
+    same = _folded(around)
+    order = np.lexsort((places, same, group))
+    fresh = np.append(True, (np.diff(group[order]) != 0) | (np.diff(same[order]) != 0))
+    first = np.empty(len(seed), np.int64)
+    first[order] = order[np.maximum.accumulate(np.where(fresh, places, 0))]
+    heads = np.flatnonzero(first == places)
+    starts, stops = (np.searchsorted(group[heads], group[heads], side=side) for side in ("left", "right"))
+    own, heads_doc, seeking = around[heads], doc[heads], covered[heads] == 0
+    other = np.where(own == 0, np.uint16(1), own)
+    found = []
+
+    def keep(i, j, left, right):
+        """Of the occurrences that each was compared with, those that no other surpasses on both sides."""
+        alike = np.flatnonzero((left + right >= ALIKE) & (heads_doc[i] > heads_doc[j]))
+        i, j, left, right = i[alike], j[alike], left[alike].astype(np.int64), right[alike].astype(np.int64)
+        order = np.lexsort((j, -right, -left, i))
+        value = i[order] * 64 + right[order]
+        order = order[np.append(True, value[1:] > np.maximum.accumulate(value)[:-1])[: len(order)]]
+        found.append((i[order], j[order]))
+
+    few = np.flatnonzero(seeking & (stops - starts <= FEW) & (starts < np.arange(len(heads))))
+    ends = np.cumsum(few - starts[few])
+    for some in np.split(few, np.searchsorted(ends, np.arange(PAIRS, ends[-1] if len(ends) else 0, PAIRS))):
+        i, j = np.repeat(some, some - starts[some]), ranges(starts[some], some - starts[some])
+        equal = own[i] == other[j]
+        keep(i, j, equal[:, :AROUND].sum(axis=1), equal[:, AROUND:].sum(axis=1))
+    for start in np.flatnonzero((starts == np.arange(len(heads))) & (stops - starts > FEW)).tolist():
+        seekers = start + np.flatnonzero(seeking[start : stops[start]])
+        for begin in range(0, len(seekers), TILE):
+            mine = seekers[begin : begin + TILE]
+            all_before = slice(start, int(mine[-1]))
+            left, right = (_equal(own[mine, side], other[all_before, side]) for side in (slice(0, AROUND), slice(AROUND, None)))
+            row, column = np.nonzero(left + right >= ALIKE)
+            keep(mine[row], start + column, left[row, column], right[row, column])
+    mine, theirs = (np.concatenate([pair[side] for pair in found] or [heads[:0]]) for side in (0, 1))
+    still = np.flatnonzero(covered == 0)
+    mine, theirs = np.append(heads[mine], still), np.append(heads[theirs], first[still])
+    # The first place and the one before are matched already, as can be told where a seed has one block.
+    begins = np.maximum.accumulate(np.where(cut, places, 0))
+    before = np.maximum.accumulate(np.where(cut | np.append(True, np.diff(doc) != 0), places, 0)) - 1
+    known = (blocks[mine] == 1) & ((theirs == begins[mine]) | (theirs == before[mine]))
+    new = (doc[theirs] < doc[mine]) & ~known
+    mine, theirs = mine[new], theirs[new]
+    return pa.table({"doc_id": doc[mine], "ref_id": doc[theirs], "x": x[mine], "y": x[theirs]})
+
+
+def _equal(mine: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Equal words of each two rows."""
+    out = np.zeros((len(mine), len(other)), np.uint8)
+    for a, b in zip(np.ascontiguousarray(mine.T), np.ascontiguousarray(other.T)):
+        out += a[:, None] == b
+    return out
+
+
+def _rival_chains(table: pa.Table, bounds: np.ndarray) -> pa.Table:
+    """Chains of the matches of some documents; their words are still to be fetched."""
+    numbers = np.array([table.column(name).to_numpy() for name in ("doc_id", "ref_id", "x", "y")], np.int64)
+    numbers = np.unique(numbers, axis=1)
+    return _chain_table(None, bounds, *_runs(*numbers, numbers[2], np.ones(numbers.shape[1], np.int64))).select(
+        [field.split(" ")[0] for field in _LINKS.split(", ")]
+    )
 
 
 def _runs(doc, ref, x, y, places, extra):
@@ -375,8 +535,8 @@ def _runs(doc, ref, x, y, places, extra):
     return tuple(column[order] for column in columns)
 
 
-def _chain_table(words: Words, bounds: np.ndarray, doc, ref, x, y, lengths, base, seeds, extras) -> pa.Table:
-    """The chains of each document's runs with each anchor document."""
+def _chain_table(words: Words | None, bounds: np.ndarray, doc, ref, x, y, lengths, base, seeds, extras) -> pa.Table:
+    """The chains of each document's runs with each anchor document; without ``words`` they may end beyond the text."""
     if not len(doc):
         return _table(_CHAINS, [])
     cuts = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (ref[1:] != ref[:-1])))
@@ -390,11 +550,8 @@ def _chain_table(words: Words, bounds: np.ndarray, doc, ref, x, y, lengths, base
     members, counts = np.array(members, np.int64), np.array(counts, np.int64)
     offsets = offsets_of(counts)
     head, tail = members[offsets[:-1]], members[offsets[1:] - 1]
-    text = np.searchsorted(words.offsets, base[head], side="right") - 1
-    begin = np.maximum(0, x[head] - _EXTEND)
-    end = np.minimum(words.offsets[text + 1] - base[head], x[tail] + lengths[tail] + K + _EXTEND)
+    begin, end = np.maximum(0, x[head] - _EXTEND), x[tail] + lengths[tail] + K + _EXTEND
     ref_begin, ref_end = np.maximum(0, y[head] - _EXTEND), y[tail] + lengths[tail] + K + _EXTEND
-    stretch = words.hashes[ranges(base[head] + begin, end - begin)].astype(np.uint32)
 
     def each(numbers):
         return _blobs(numbers.astype(np.int32), counts)
@@ -402,17 +559,21 @@ def _chain_table(words: Words, bounds: np.ndarray, doc, ref, x, y, lengths, base
     columns = {
         "doc_id": doc[head],
         "begin": begin,
+        "end": end,
         "ref_id": ref[head],
         "ref_shard": np.searchsorted(bounds, ref[head], side="left").astype(np.int32),
         "ref_begin": ref_begin,
         "ref_end": ref_end,
-        "words": _blobs(stretch, end - begin),
         "xs": each(x[members] - np.repeat(begin, counts)),
         "ys": each(y[members] - np.repeat(ref_begin, counts)),
         "sizes": each(lengths[members] + K),
         "extra": (2 * np.add.reduceat(extras[members], offsets[:-1]) > np.add.reduceat(seeds[members], offsets[:-1])).astype(np.int32),
     }
-    return pa.table(columns)
+    if words is not None:
+        text = np.searchsorted(words.offsets, base[head], side="right") - 1
+        size = np.minimum(words.offsets[text + 1] - base[head], end) - begin
+        columns["words"] = _blobs(words.hashes[ranges(base[head] + begin, size)].astype(np.uint32), size)
+    return _filled(columns, len(head))
 
 
 PASSAGES = (
@@ -442,7 +603,7 @@ def shared_passages(documents: DataFrame, shard_bytes: int = SHARD_BYTES) -> Dat
     def copy_rows(batches):
         for batch in batches:
             ids = batch.column("doc_id").to_numpy()
-            rows = [(int(s), _COPIES, 0, None, i.tobytes(), None, None, None) for s, i in zip(shard_of(batch), ids)]
+            rows = [(int(s), _COPIES, 0, None, i.tobytes(), None, None, None, None, None) for s, i in zip(shard_of(batch), ids)]
             yield from _table(_SIDE, rows).to_batches()
 
     def ask(key, left, right):
@@ -453,13 +614,15 @@ def shared_passages(documents: DataFrame, shard_bytes: int = SHARD_BYTES) -> Dat
         keys, firsts, lasts = _ends(seeds, at)
         docs, places = words.place(firsts)
         last_docs, last_places = words.place(lasts)
+        numbers = _documents(seeds, words.place(at)[0])
         out = []
         for part, own in enumerate(_parts(keys, groups)):
             if len(own):
                 later = own[lasts[own] != firsts[own]]
                 blobs = [keys[own].tobytes(), docs[own].tobytes(), places[own].astype(np.int32).tobytes()]
                 blobs += [np.packbits(lasts[own] != firsts[own]).tobytes(), last_docs[later].tobytes()]
-                out.append((part, key[0].as_py(), *blobs, last_places[later].astype(np.int32).tobytes()))
+                blobs += [last_places[later].astype(np.int32).tobytes(), numbers[later].astype(np.int32).tobytes()]
+                out.append((part, key[0].as_py(), *blobs))
         return _table(_SENT, out)
 
     def chain(key, left, right):
@@ -478,6 +641,11 @@ def shared_passages(documents: DataFrame, shard_bytes: int = SHARD_BYTES) -> Dat
         stretch = words.hashes[ranges(low, high - low)].astype(np.uint32)
         return pa.table({"ref_id": ref, "ref_begin": begin, "ref_end": end, "ref_words": _blobs(stretch, high - low)})
 
+    def own_shards(batches):
+        for batch in batches:
+            shard = pa.array(shard_of(batch).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([shard, *batch.columns], names=["ref_shard", "ref_id", *batch.schema.names[1:]])
+
     def align_rows(batches):
         for batch in batches:
             (x, begins), (y, _), (sizes, _) = (_numbers(batch.column(name), np.int32) for name in ("xs", "ys", "sizes"))
@@ -535,7 +703,24 @@ def shared_passages(documents: DataFrame, shard_bytes: int = SHARD_BYTES) -> Dat
         return left.groupBy("shard").cogroup(right.groupBy(key)).applyInArrow(run, schema)
 
     anchors = grouped(texts, copies, ask, _SENT).groupBy("part").applyInArrow(lambda table: _merge(table), _SIDE)
-    chains = materialise(grouped(texts, copies.unionAll(anchors), chain, _CHAINS), "chains")
+    found = materialise(grouped(texts, copies.unionAll(anchors), chain, _CHAINS), "chains")
+    columns = [field.split(" ")[0] for field in f"{_LINKS}, words".split(", ")]
+    chains = found.filter("seed IS NULL").select(columns)
+    # An occurrence goes to each pair of blocks that its own is in; a seed in few documents has one block.
+    blocks = F.ceil(F.col("number") / F.lit(BLOCK)).cast("int")
+    own, other = F.pmod(F.xxhash64("doc_id"), F.col("blocks")), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    dealt = found.filter("seed IS NOT NULL").withColumn("blocks", blocks)
+    kept = ["seed", "doc_id", "begin", "extra", "words", "blocks"]
+    dealt = dealt.select(*kept, own.cast("int").alias("own"), other.alias("other"))
+    dealt = dealt.select(*kept, F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
+    parted = dealt.withColumn("part", F.pmod(F.xxhash64("seed", "low", "high"), F.lit(groups)))
+    matches = parted.groupBy("part").applyInArrow(lambda table: _rivals(table), _MATCHES)
+    parted = matches.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(groups)))
+    rivals = materialise(parted.groupBy("part").applyInArrow(lambda table: _rival_chains(table, bounds), _LINKS), "rivals")
+    wanted = rivals.select("doc_id", F.col("begin").alias("ref_begin"), F.col("end").alias("ref_end")).distinct()
+    wanted = wanted.mapInArrow(own_shards, "ref_shard INT, ref_id BIGINT, ref_begin BIGINT, ref_end BIGINT")
+    own_words = grouped(texts, wanted, fetch, _FETCHED, "ref_shard").toDF("doc_id", "begin", "end", "words")
+    chains = chains.unionByName(materialise(rivals.join(own_words, ["doc_id", "begin", "end"]).select(columns), "rival_words"))
     stretches = chains.select("ref_shard", "ref_id", "ref_begin", "ref_end").distinct()
     fetched = grouped(texts, stretches, fetch, _FETCHED, "ref_shard")
     aligned = chains.join(fetched, ["ref_id", "ref_begin", "ref_end"]).mapInArrow(align_rows, f"{PASSAGES}, extra INT")
