@@ -63,3 +63,26 @@ def test_replay_moves_what_parses_now(spark, tmp_path, monkeypatch):
     assert quarantine.replay(spark, SCHEMA, bronze, held, {}) == 0
     quarantine.ingest(raw(spark).limit(0), SCHEMA, bronze, held, "tuesday")
     assert len(names()) == 6
+
+
+def test_reasons_are_told_without_a_cast_of_every_text_and_in_one_computation(spark, tmp_path):
+    values = ["1e400", "NaN", " -Infinity ", "inf", "0x1p3", "7d", "+.5e-2f", "1.", "12x", "e5", "nan x", "", "many", "９", "\x001\n"]
+    rows = [(str(i), value) for i, value in enumerate(values)]
+    frame = spark.createDataFrame(rows, "order_id STRING, quantity STRING")
+    cast = {row["order_id"]: row["n"] for row in frame.selectExpr("order_id", "try_cast(quantity AS DOUBLE) AS n").collect()}
+    _, broken = quarantine.split_raw(frame, "order_id STRING, quantity INT")
+    found = {row["order_id"]: row["reason"] for row in quarantine.listed_failures(broken, "order_id").collect()}
+    numbers = {key for key, n in cast.items() if n is not None and n == n}
+    assert {key for key, reason in found.items() if reason == "beyond int"} == numbers & set(found)
+
+    # Raw rows are computed once for both tables.
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    counted = frame.mapInArrow(count, frame.schema)
+    quarantine.ingest(counted, "order_id STRING, quantity INT", str(tmp_path / "bronze"), str(tmp_path / "held"), "monday")
+    assert seen.value == len(values)

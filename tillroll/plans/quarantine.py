@@ -10,19 +10,29 @@ from tillroll.operators.silver import clean
 from tillroll.sinks import versions
 
 FAILURES = "ARRAY<STRUCT<column: STRING, value: STRING, reason: STRING>>"
+#: What a cast to DOUBLE can read. It throws and catches an exception for each other value, which takes far longer.
+_NUMBER = (
+    r"(?i)^[\x00-\x20]*[+-]?(nan|inf(inity)?|([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?[fd]?"
+    r"|0x[0-9a-f]*\.?[0-9a-f]*p[+-]?[0-9]+[fd]?)[\x00-\x20]*$"
+)
+
+
+def _broken(field: T.StructField) -> Column:
+    """Whether a value of ``field`` does not parse; never NULL."""
+    return F.col(field.name).isNotNull() & F.col(field.name).try_cast(field.dataType).isNull()
 
 
 def _failure(field: T.StructField) -> Column:
-    """Why a value of ``field`` does not parse, NULL if it does."""
+    """Why a value of ``field`` does not parse, in an array that is empty if it does."""
     value = F.col(field.name)
     kind = field.dataType.simpleString()
     reason = F.lit(f"not a {kind}")
     if isinstance(field.dataType, (T.IntegralType, T.DecimalType)):
         # A whole number that the type has no room for is another fault than text.
-        number = F.col(field.name).try_cast("double")
+        number = F.when(value.cast("string").rlike(_NUMBER), value.try_cast("double"))
         reason = F.when(number.isNotNull() & ~F.isnan(number), f"beyond {kind}").otherwise(reason)
-    broken = value.isNotNull() & value.try_cast(field.dataType).isNull()
-    return F.when(broken, F.struct(F.lit(field.name).alias("column"), value.cast("string").alias("value"), reason.alias("reason")))
+    found = F.struct(F.lit(field.name).alias("column"), value.cast("string").alias("value"), reason.alias("reason"))
+    return F.when(_broken(field), F.array(found).cast(FAILURES)).otherwise(F.array().cast(FAILURES))
 
 
 def split_raw(raw: DataFrame, schema: str) -> tuple[DataFrame, DataFrame]:
@@ -30,10 +40,13 @@ def split_raw(raw: DataFrame, schema: str) -> tuple[DataFrame, DataFrame]:
     ``failures``, the column, raw value and reason of each value that does not. Every row is in one of the two. Missing
     values are no failures."""
     fields = T.StructType.fromDDL(schema)
-    failures = F.array_compact(F.array(*[_failure(field) for field in fields]))
-    tested = raw.select([F.col(field.name) for field in fields]).withColumn("failures", failures)
-    fine = tested.filter(F.size("failures") == 0).drop("failures")
-    return clean(fine, schema), tested.filter(F.size("failures") > 0)
+    named = raw.select([F.col(field.name) for field in fields])
+    # Reasons are looked for in broken rows alone; a filter on their number would be evaluated for all, below a join too.
+    broken = F.lit(False)
+    for field in fields:
+        broken = broken | _broken(field)
+    failures = F.concat(*[_failure(field) for field in fields])
+    return clean(named.filter(~broken), schema), named.filter(broken).withColumn("failures", failures)
 
 
 def listed_failures(quarantined: DataFrame, key: str) -> DataFrame:
@@ -46,9 +59,14 @@ def ingest(raw: DataFrame, schema: str, bronze: str, quarantine: str, batch: str
 
     Running it again after a failure, or by mistake, adds nothing twice.
     """
-    cleaned, broken = split_raw(raw, schema)
-    versions.append_batch(broken, quarantine, batch, time_column=None)
-    versions.append_batch(cleaned, bronze, batch, time_column=None)
+    # Both tables are written from one computation of the raw rows.
+    kept = raw.select([F.col(field.name) for field in T.StructType.fromDDL(schema)]).persist()
+    try:
+        cleaned, broken = split_raw(kept, schema)
+        versions.append_batch(broken, quarantine, batch, time_column=None)
+        versions.append_batch(cleaned, bronze, batch, time_column=None)
+    finally:
+        kept.unpersist()
 
 
 def quarantine_schema(schema: str) -> T.StructType:
