@@ -34,6 +34,8 @@ _WORDS, _PAIRS, _TOTALS = range(3)
 _SENT = "part INT, shard INT, kind INT, keys BINARY, counts BINARY"
 _SIDE = "shard INT, kind INT, part INT, counts BINARY, distinct BIGINT, total BIGINT"
 _LOW = np.uint64((1 << 48) - 1)
+#: Words of a traversal in memory at a time.
+_AT_ONCE = 1 << 17
 
 
 class Sequences:
@@ -68,11 +70,21 @@ def _counted(sequences: Sequences, training: np.ndarray):
     """Kind, distinct keys and training counts of the words and of the bigrams."""
     weight = np.repeat(training, np.diff(sequences.offsets)).astype(np.float64)
     for kind, values in ((_WORDS, sequences.tokens), (_PAIRS, sequences.pairs)):
-        keys = distinct(values)
-        counts = np.bincount(np.searchsorted(keys, values), weight, len(keys)) if len(keys) else np.zeros(0)
+        keys, numbers = _numbered(values)
+        counts = np.bincount(numbers, weight, len(keys)) if len(keys) else np.zeros(0)
         yield kind, keys, counts.astype(np.int64)
 
 
+def _numbered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct values and the number of each value among them."""
+    order = np.argsort(values)
+    ascending = values[order]
+    new = np.append(True, ascending[1:] != ascending[:-1])[: len(values)]
+    numbers = np.empty(len(values), np.int64)
+    numbers[order] = np.cumsum(new) - 1
+    return ascending[new], numbers
+
+
 def _squeezed(values: np.ndarray) -> bytes:
     # Bytes of equal weight together: most counts are small.
     return zstandard.ZstdCompressor(level=1).compress(values.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes())
@@ -143,33 +155,45 @@ class BackoffAutomaton:
         self.begin = len(words) + 1
         self.names = np.concatenate([[np.uint64(0)], words, [_BEGIN]]).astype(np.uint64)
 
-    def step(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Weight of reading a word (by number) in each state, and the state after it."""
-        weight = self.root[word]
+    def arcs(self, state: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """The arc from each state for a word, -1 where there is none."""
+        if not len(self.pairs):
+            return np.full(len(state), -1)
         key = pair_keys(self.names[state], self.words[word])
-        arc = np.minimum(np.searchsorted(self.pairs, key), max(0, len(self.pairs) - 1))
-        has = (state > 0) & (self.pairs[arc] == key) if len(self.pairs) else np.zeros(len(state), bool)
+        arc = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        return np.where((state > 0) & (self.pairs[arc] == key), arc, -1)
+
+    def after(self, word: np.ndarray) -> np.ndarray:
+        """The state that reading a word leads to."""
+        return np.where(self.context[1 + word] > 0, 1 + word, 0)
+
+    def step(self, state: np.ndarray, word: np.ndarray, arc: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Weight of reading a word (by number) in each state, and the state after it. ``arc`` as ``arcs`` gives it."""
+        weight = self.root[word]
+        arc = self.arcs(state, word) if arc is None else arc
+        has = (state > 0) & (arc >= 0)
         out = np.where(state > 0, self.failure[state] + weight, weight)
         held = state[has]
         share = self.pair_counts[arc[has]] + self.k * 10 ** weight[has]
         out[has] = np.log10(share / (self.context[held] + self.k))
-        after = np.where(self.context[1 + word] > 0, 1 + word, 0)
-        return out, after
-
-    def traverse(self, words: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Log10 probability of each text; texts advance together, word by word."""
-        sizes = np.diff(offsets)
-        order = np.argsort(-sizes, kind="stable")
-        starts, sizes = offsets[:-1][order], sizes[order]
-        state = np.full(len(order), self.begin if self.context[self.begin] > 0 else 0)
-        total = np.zeros(len(order))
-        for place in range(int(sizes[0]) if len(sizes) else 0):
-            active = int(np.searchsorted(-sizes, -place, side="left"))
-            weight, state[:active] = self.step(state[:active], words[starts[:active] + place])
-            total[:active] += weight
-        out = np.empty_like(total)
-        out[order] = total
-        return out
+        return out, self.after(word)
+
+    def traverse(self, words: np.ndarray, offsets: np.ndarray, arcs: np.ndarray | None = None) -> np.ndarray:
+        """Log10 probability of each text, which has a word at least. The state in which a word is read is the one that
+        the word before leads to from any state, so many words are read at a time."""
+        weights = np.empty(len(words))
+        state = np.int64(self.begin if self.context[self.begin] > 0 else 0)
+        starts, carried = offsets[:-1], state
+        for low in range(0, len(words), _AT_ONCE):
+            own = words[low : low + _AT_ONCE]
+            after = self.after(own)
+            states = np.append(carried, after[:-1])
+            begins = starts[np.searchsorted(starts, low) : np.searchsorted(starts, low + len(own))]
+            states[begins - low] = state
+            carried = after[-1]
+            part = None if arcs is None else arcs[low : low + _AT_ONCE]
+            weights[low : low + _AT_ONCE], _ = self.step(states, own, part)
+        return np.add.reduceat(weights, starts) if len(starts) else np.zeros(0)
 
 
 def scores(documents: DataFrame, training: Column, k: float = CONCENTRATION) -> DataFrame:
@@ -217,16 +241,17 @@ def scores(documents: DataFrame, training: Column, k: float = CONCENTRATION) ->
         ids, flags, sequences = read(left)
         answers = {(row["kind"], row["part"]): row for row in right.to_pylist()}
         found = []
-        for kind, keys, _ in _counted(sequences, flags):
+        for kind, values in ((_WORDS, sequences.tokens), (_PAIRS, sequences.pairs)):
+            keys, numbers = _numbered(values)
             counts = np.zeros(len(keys), np.int64)
             for part, own in enumerate(_parts(keys, groups)):
                 if len(own):
                     counts[own] = _unsqueezed(answers[kind, part]["counts"])
-            found.append((keys, counts))
-        (words, word_counts), (pairs, pair_counts) = found
+            found.append((keys, counts, numbers))
+        (words, word_counts, numbers), (pairs, pair_counts, arcs) = found
+        arcs = np.where(pair_counts > 0, np.cumsum(pair_counts > 0) - 1, -1)[arcs]
         sums = answers[_TOTALS, 0]
         machine = BackoffAutomaton(words, word_counts, pairs, pair_counts, sums["distinct"], sums["total"], k)
-        numbers = np.searchsorted(words, sequences.tokens)
         begins = sequences.offsets[:-1]
         return pa.table(
             {
@@ -236,7 +261,7 @@ def scores(documents: DataFrame, training: Column, k: float = CONCENTRATION) ->
                 "n_known": pa.array(np.add.reduceat((word_counts[numbers] > 0).astype(np.int64), begins)),
                 "train_tokens": pa.array([sums["total"]] * len(ids), pa.int64()),
                 "base_score": pa.array(np.add.reduceat(machine.root[numbers], begins)),
-                "score": pa.array(machine.traverse(numbers, sequences.offsets)),
+                "score": pa.array(machine.traverse(numbers, sequences.offsets, arcs)),
             }
         )
 

@@ -57,10 +57,13 @@ def hashed_words(texts: list[bytes]) -> HashedWords:
     longest = int((stops - starts).max())
     if longest > len(_POWERS):
         _POWERS = _powers(2 * longest)
-    place = np.arange(len(data)) - np.repeat(np.append(0, starts), np.diff(np.append(np.append(0, starts), len(data))))
-    terms = (data.astype(np.uint64) + np.uint64(1)) * _POWERS[np.minimum(place, len(_POWERS) - 1)]
-    terms[~word] = 0
-    sums = np.add.reduceat(terms, starts)
+    # Bytes of words alone, each with its place in its word.
+    sizes = stops - starts
+    begins = offsets_of(sizes)
+    place = np.arange(begins[-1]) - np.repeat(begins[:-1], sizes)
+    terms = _POWERS[place]
+    terms *= data[word].astype(np.uint64) + np.uint64(1)
+    sums = np.add.reduceat(terms, begins[:-1])
     return HashedWords(mix(sums), offsets, starts, stops, data)
 
 
