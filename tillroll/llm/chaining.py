@@ -49,7 +49,7 @@ MANY = 4
 #: Words on either side of a seed by which its occurrences are compared, and how many of both must be equal.
 AROUND, ALIKE = 20, 16
 #: Documents of a seed whose occurrences a task holds at a time, occurrences compared with all of them at a time.
-BLOCK, TILE = 2048, 256
+BLOCK, TILE = 8192, 256
 #: Seeds with so many occurrences are compared together, so many pairs at a time.
 FEW, PAIRS = 64, 1 << 16
 
@@ -489,7 +489,8 @@ def _rivals(table: pa.Table) -> pa.Table:
             mine = seekers[begin : begin + TILE]
             all_before = slice(start, int(mine[-1]))
             left, right = (_equal(own[mine, side], other[all_before, side]) for side in (slice(0, AROUND), slice(AROUND, None)))
-            row, column = np.nonzero(left + right >= ALIKE)
+            limits = np.searchsorted(heads_doc[all_before], heads_doc[mine])
+            row, column = _unsurpassed(left, right, limits)
             keep(mine[row], start + column, left[row, column], right[row, column])
     mine, theirs = (np.concatenate([pair[side] for pair in found] or [heads[:0]]) for side in (0, 1))
     still = np.flatnonzero(covered == 0)
@@ -503,6 +504,27 @@ def _rivals(table: pa.Table) -> pa.Table:
     return pa.table({"doc_id": doc[mine], "ref_id": doc[theirs], "x": x[mine], "y": x[theirs]})
 
 
+def _unsurpassed(left: np.ndarray, right: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns, below each row's limit, of pairs that are alike enough, without most of those that another pair
+    of the row equals or surpasses on both sides."""
+    total = left + right
+    low = int(limits.min())
+    total[:, low:][np.arange(low, total.shape[1]) >= limits[:, None]] = 0
+    rows = np.flatnonzero(total.max(axis=1, initial=0) >= ALIKE)
+    left, right, total = left[rows], right[rows], total[rows]
+    open_, every = total >= ALIKE, np.arange(len(rows))
+    for weights in ((1, 1), (64, 1), (1, 64)):
+        if not len(rows):
+            break
+        value = left * np.uint16(weights[0]) + right * np.uint16(weights[1])
+        best = np.where(open_, value, 0).argmax(axis=1)  # the first of equal ones
+        below = (left <= left[every, best][:, None]) & (right <= right[every, best][:, None])
+        open_ &= ~below
+        open_[every, best] = True
+    row, column = np.nonzero(open_)
+    return rows[row], column
+
+
 def _equal(mine: np.ndarray, other: np.ndarray) -> np.ndarray:
     """Equal words of each two rows."""
     out = np.zeros((len(mine), len(other)), np.uint8)
