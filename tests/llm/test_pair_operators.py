@@ -267,6 +267,43 @@ def test_passages_whose_seeds_are_first_and_last_elsewhere_are_found(documents_f
         assert all(row["begin"] <= 42 and row["end"] >= 97 for row in found) and len(found) == 1
 
 
+def test_chains_that_can_be_no_passage_are_not_fetched(documents_from, monkeypatch):
+    """A few words that documents share by chance are no reason to align what is around them."""
+    draw, sizes, write = random.Random(5), {}, chaining.materialise
+
+    def fresh(size):
+        return [f"w{draw.randrange(10**9)}" for _ in range(size)]
+
+    def counted(frame, name):
+        out = write(frame, name)
+        sizes[name] = out.filter("seed IS NULL").count() if name == "chains" else None
+        return out
+
+    monkeypatch.setattr(chaining, "materialise", counted)
+    phrases, shared = [fresh(11) for _ in range(40)], fresh(50)
+    texts = [" ".join(word for phrase in phrases for word in phrase + fresh(40)) for _ in range(3)]
+    texts += [" ".join(fresh(30) + shared + fresh(30)) for _ in range(2)]
+    for shard_bytes in (2_000, 1 << 20):
+        found = chaining.shared_passages(documents_from(texts), shard_bytes).collect()
+        assert [tuple(row)[:7] for row in found] == [(4, 3, 30, 80, 30, 80, 50)]
+        assert 0 < sizes["chains"] <= 6
+
+
+def test_signs_leave_room_for_all_equal_words():
+    draw = np.random.default_rng(4)
+    texts = [" ".join(f"w{n}" for n in draw.integers(0, 3, size)).encode() for size in (5, 30, 70, 90)]
+    words = chaining.Words(np.arange(4), texts, np.zeros(0, np.int64))
+    at = np.flatnonzero(words.text[: len(words.grams)] == words.text[chaining.K - 1 :])
+    a, b = (draw.choice(at, 2000) for _ in range(2))
+    begins, ends = words.offsets[words.text], words.offsets[words.text + 1]
+    before = np.minimum(a - begins[a], b - begins[b])
+    left, right = chaining._fits(words.signs(a), words.signs(b), before, ends[a] - a - chaining.K)
+    for i, j, m, n in zip(a.tolist(), b.tolist(), left.tolist(), right.tolist()):
+        far, on = min(20, i - begins[i], j - begins[j]), min(20, ends[i] - i - 4, ends[j] - j - 4)
+        equal = words.hashes[i - far : i] == words.hashes[j - far : j], words.hashes[i + 4 : i + 4 + on] == words.hashes[j + 4 : j + 4 + on]
+        assert equal[0].sum() <= m <= far and equal[1].sum() <= n <= 20
+
+
 def test_passages_of_missing_and_repeated_ids_and_of_very_long_texts(documents_from):
     common = passage(3, 70)
     long = " ".join(passage(20 + i, 400) for i in range(60))

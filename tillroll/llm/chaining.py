@@ -14,6 +14,8 @@
 2. *Chains.* Matches of a document with one anchor document that follow each other on one diagonal are a run. Runs are
    chained: the best sequence that rises in both, where a run gains its words and a gap costs in proportion to its length
    in both documents. Prefix maxima in a Fenwick tree give the best predecessor of each run.
+   With the place of a seed goes its *sign*, two bits of each word around it. Words whose bits differ are not equal, so a
+   chain whose gaps and signs leave room for too few equal words can be no passage and ends here.
 3. *Alignment.* The words of a chain's stretch in the anchor document are fetched from its shard, once for all chains
    that name the same stretch. Words between runs are aligned, the ends are extended while they agree, and passages
    that are long and alike enough remain, of those with few anchors in their chain only such as lie in no other.
@@ -21,18 +23,20 @@
 Exact copies of an earlier text are found by their hash beforehand.
 """
 
+import hashlib
 from bisect import bisect_right
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.batches import offsets_of, ranges
+from tillroll.llm.batches import offsets_of, pieces, ranges, texts_of
 from tillroll.llm.shards import packed, unpacked
 from tillroll.llm.suffix_dedup import shard_bounds
-from tillroll.llm.word_hashing import hashed_words, mix, windows
+from tillroll.llm.word_hashing import hashed_words, mix, windows, word_counts
 from tillroll.sinks.scratch import materialise
 
 K = 4
@@ -56,6 +60,8 @@ FEW, PAIRS = 64, 1 << 16
 #: Words that a chain may gain at either end: a seed in the middle of a passage of the least length reaches both.
 _EXTEND = MIN_WORDS // 2
 _DROP = 5
+#: A sign has so many bits of each word in as many numbers, of so many bytes each.
+_PLANES, _SIGN = 2, -(-2 * _EXTEND // 8)
 _LAST = np.uint64(np.iinfo(np.uint64).max)
 
 
@@ -68,15 +74,20 @@ class Words:
         self.ids = ids[order]
         words = hashed_words([texts[i].lower() for i in order.tolist()])
         self.hashes, self.offsets = words.hashes, words.offsets
+        #: The document of each word, by its number.
+        self.text = np.repeat(np.arange(len(self.ids), dtype=np.int32), np.diff(self.offsets))
+
+    @cached_property
+    def grams(self) -> np.ndarray:
+        """Hash of the k-mer from each word on, also of such as go beyond a document."""
+        return windows(self.hashes, K)
 
     def seeds(self) -> tuple[np.ndarray, np.ndarray]:
         """Hash and place of each seed."""
-        values = windows(self.hashes, K)
-        if not len(values):
-            return values, np.zeros(0, np.int64)
-        text = np.searchsorted(self.offsets[1:], np.arange(len(values)), side="right")
-        inside = np.arange(len(values)) + K <= self.offsets[text + 1]
-        values[~inside] = _LAST
+        if not len(self.grams):
+            return self.grams, np.zeros(0, np.int64)
+        inside = self.text[: len(self.grams)] == self.text[K - 1 :]
+        values = np.where(inside, self.grams, _LAST)
         around = np.concatenate([np.full(WINDOW - 1, _LAST), values, np.full(WINDOW - 1, _LAST)])
         least = _sliding(around, np.minimum)
         # A k-mer is a seed if it is the least of any window around it.
@@ -85,16 +96,40 @@ class Words:
 
     def long_seeds(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Hash of the ``MIN_WORDS`` words from each seed's place on, where so many follow, and that place."""
-        text = np.searchsorted(self.offsets[1:], chosen, side="right")
-        at = chosen[chosen + MIN_WORDS <= self.offsets[text + 1]]
+        at = chosen[chosen + MIN_WORDS <= self.offsets[self.text[chosen] + 1]]
         values = np.full(len(at), MIN_WORDS, np.uint64)
-        for i in range(MIN_WORDS):
-            values = mix((values ^ self.hashes[at + i]) + np.uint64(i))
+        for i in [*range(0, MIN_WORDS - K, K), MIN_WORDS - K]:
+            values = mix((values ^ self.grams[at + i]) + np.uint64(i))
         return values, at
 
+    @cached_property
+    def _planes(self) -> list[np.ndarray]:
+        """A bit of each of ``_EXTEND`` words as one number, the first of them so many words before the first; for all planes."""
+        out = []
+        for plane in range(_PLANES):
+            bits = np.zeros(len(self.hashes) + 2 * _EXTEND + K, np.uint32)
+            bits[_EXTEND : _EXTEND + len(self.hashes)] = (self.hashes >> np.uint64(32 + plane)) & np.uint64(1)
+            count, done, size = len(bits) - _EXTEND + 1, 0, 1
+            sums = np.zeros(count, np.uint32)
+            while size <= _EXTEND:
+                if _EXTEND & size:
+                    sums |= bits[done : done + count] << np.uint32(done)
+                    done += size
+                bits = bits[:-size] | (bits[size:] << np.uint32(size))
+                size *= 2
+            out.append(sums)
+        return out
+
+    def signs(self, at: np.ndarray) -> np.ndarray:
+        """Bits of the ``_EXTEND`` words before and after the k-mer at each place; they may belong to other documents."""
+        out = np.empty((len(at), _PLANES), np.uint64)
+        for plane, bits in enumerate(self._planes):
+            out[:, plane] = bits[at] | (bits[at + K + _EXTEND].astype(np.uint64) << np.uint64(_EXTEND))
+        return out
+
     def place(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Document and word number of places."""
-        text = np.searchsorted(self.offsets[1:], at, side="right")
+        text = self.text[at]
         return self.ids[text], at - self.offsets[text]
 
 
@@ -243,10 +278,13 @@ def _blobs(numbers: np.ndarray, counts: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(kind, len(counts), buffers)
 
 
-_SENT = "part INT, shard INT, seeds BINARY, docs BINARY, places BINARY, mask BINARY, last_docs BINARY, last_places BINARY, numbers BINARY"
+_SENT = (
+    "part INT, shard INT, seeds BINARY, docs BINARY, places BINARY, mask BINARY, last_docs BINARY, last_places BINARY, numbers BINARY,"
+    " signs BINARY, last_signs BINARY"
+)
 _SIDE = (
     "shard INT, kind INT, part INT, mask BINARY, docs BINARY, places BINARY, last_docs BINARY, last_places BINARY,"
-    " often BINARY, numbers BINARY"
+    " often BINARY, numbers BINARY, signs BINARY, last_signs BINARY"
 )
 _LINKS = (
     "doc_id BIGINT, begin BIGINT, end BIGINT, ref_id BIGINT, ref_shard INT, ref_begin BIGINT, ref_end BIGINT,"
@@ -255,6 +293,7 @@ _LINKS = (
 _CHAINS = f"{_LINKS}, words BINARY, seed BIGINT, number INT"
 _MATCHES = "doc_id BIGINT, ref_id BIGINT, x BIGINT, y BIGINT"
 _FETCHED = "ref_id BIGINT, ref_begin BIGINT, ref_end BIGINT, ref_words BINARY"
+_HASHED = "doc_id BIGINT, hash BINARY, size BIGINT"
 _COPIES, _ANCHORS = range(2)
 
 
@@ -265,36 +304,67 @@ def _table(schema: str, rows: list[tuple]) -> pa.Table:
     return pa.table({name: pa.array(values, kinds[kind]) for (name, kind), values in zip(fields, columns)})
 
 
-def _ends(seeds: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct seeds, the first and the last place of each."""
-    order = np.argsort(seeds, kind="stable")
+def _ordered(numbers: np.ndarray) -> np.ndarray:
+    """Stable order of whole numbers from 0 to below 2^32."""
+    tagged = np.sort((numbers.astype(np.uint64) << np.uint64(32)) | np.arange(len(numbers), dtype=np.uint64))
+    return (tagged & np.uint64(0xFFFFFFFF)).astype(np.int64)
+
+
+def _ends(seeds: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct seeds, the first and the last place of each, and which of them each seed is."""
+    order = np.argsort(seeds)
     if not len(seeds):
-        return seeds, places, places
-    new = seeds[order][1:] != seeds[order][:-1]
-    first, last = order[np.append(True, new)], order[np.append(new, True)]
-    return seeds[first], places[first], places[last]
+        return seeds, places, places, order
+    new = np.append(True, seeds[order][1:] != seeds[order][:-1])
+    first, sorted_places = np.flatnonzero(new), places[order]
+    which = np.empty(len(seeds), np.int64)
+    which[order] = np.cumsum(new) - 1
+    return seeds[order[first]], np.minimum.reduceat(sorted_places, first), np.maximum.reduceat(sorted_places, first), which
+
+
+def _documents(which: np.ndarray, docs: np.ndarray, count: int) -> np.ndarray:
+    """In how many documents each of ``count`` keys is, of whose occurrences those of one key are in order of document."""
+    order = _ordered(which)
+    key, doc = which[order], docs[order]
+    new = np.append(True, (key[1:] != key[:-1]) | (doc[1:] != doc[:-1]))[: len(key)]
+    return np.bincount(key[new], minlength=count)
 
 
-def _documents(seeds: np.ndarray, docs: np.ndarray) -> np.ndarray:
-    """In how many documents each distinct seed is."""
-    order = np.lexsort((docs, seeds))
-    seeds, docs = seeds[order], docs[order]
-    new = np.append(True, seeds[1:] != seeds[:-1])[: len(seeds)]
-    fresh = new | np.append(True, docs[1:] != docs[:-1])[: len(seeds)]
-    return np.add.reduceat(fresh.astype(np.int64), np.flatnonzero(new)) if len(seeds) else np.zeros(0, np.int64)
+def _short(seeds: np.ndarray) -> np.ndarray:
+    return seeds & np.uint64(1) == 0
 
 
 def _all_seeds(words: Words) -> tuple[np.ndarray, np.ndarray, int]:
-    """Hashes and places of seeds and, after so many of these, of long seeds."""
+    """Hashes and places of seeds and, after so many of these, of long seeds; the last bit tells which."""
     seeds, places = words.seeds()
     values, at = words.long_seeds(places)
-    return np.concatenate([seeds, values]), np.concatenate([places, at]), len(seeds)
+    hashes = np.concatenate([seeds & ~np.uint64(1), values | np.uint64(1)])
+    return hashes, np.concatenate([places, at]), len(seeds)
+
+
+def _sign_bytes(signs: np.ndarray) -> bytes:
+    return np.ascontiguousarray(signs).view(np.uint8).reshape(-1, 8)[:, :_SIGN].tobytes()
+
+
+def _signs_of(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // _SIGN, 8), np.uint8)
+    out[:, :_SIGN] = np.frombuffer(data, np.uint8).reshape(-1, _SIGN)
+    return out.view(np.uint64).reshape(-1, _PLANES)
+
+
+def _fits(own: np.ndarray, other: np.ndarray, before: np.ndarray, after: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many words at most are equal on either side of two seeds with these signs, of so many that there can be."""
+    equal, every = np.bitwise_and.reduce(~(own ^ other), axis=1), np.uint64((1 << _EXTEND) - 1)
+    before, after = (np.minimum(room, _EXTEND).astype(np.uint64) for room in (before, after))
+    left = equal & every & (every << (np.uint64(_EXTEND) - before))
+    right = (equal >> np.uint64(_EXTEND)) & ((np.uint64(1) << after) - np.uint64(1))
+    return np.bitwise_count(left), np.bitwise_count(right)
 
 
 def _parts(keys: np.ndarray, groups: int) -> list[np.ndarray]:
-    part = (mix(keys) % np.uint64(groups)).astype(np.int64)
-    order = np.argsort(part, kind="stable")
-    return np.split(order, np.searchsorted(part[order], np.arange(1, groups)))
+    order = _ordered(mix(keys) % np.uint64(groups))
+    part = (mix(keys[order]) % np.uint64(groups)).astype(np.int64)
+    return np.split(order, np.searchsorted(part, np.arange(1, groups)))
 
 
 def _merge(table: pa.Table) -> pa.Table:
@@ -310,6 +380,10 @@ def _merge(table: pa.Table) -> pa.Table:
     numbers[later] = np.concatenate([np.frombuffer(row["numbers"], np.int32) for row in rows])
     last_docs[later] = np.concatenate([np.frombuffer(row["last_docs"], np.int64) for row in rows])
     last_places[later] = np.concatenate([np.frombuffer(row["last_places"], np.int32) for row in rows])
+    short, signs = _short(seeds), np.zeros((len(seeds), _PLANES), np.uint64)
+    signs[short] = np.concatenate([_signs_of(row["signs"]) for row in rows])
+    last_signs = signs.copy()
+    last_signs[later & short] = np.concatenate([_signs_of(row["last_signs"]) for row in rows])
     order = np.argsort(seeds, kind="stable")  # lower shards first
     new = np.append(True, seeds[order][1:] != seeds[order][:-1])
     first, before = np.empty(len(seeds), np.int64), np.empty(len(seeds), np.int64)
@@ -327,7 +401,10 @@ def _merge(table: pa.Table) -> pa.Table:
         last = before[begin:end][lower]
         blobs = [np.packbits(lower).tobytes(), docs[own[lower]].tobytes(), places[own[lower]].tobytes()]
         blobs += [last_docs[last].tobytes(), last_places[last].tobytes()]
-        out.append((row["shard"], _ANCHORS, row["part"], *blobs, np.packbits(often).tobytes(), own_totals[often].tobytes()))
+        blobs += [np.packbits(often).tobytes(), own_totals[often].tobytes()]
+        signed = lower & short[begin:end]
+        blobs += [_sign_bytes(signs[own[signed]]), _sign_bytes(last_signs[before[begin:end][signed]])]
+        out.append((row["shard"], _ANCHORS, row["part"], *blobs))
         begin = end
     return _table(_SIDE, out)
 
@@ -338,60 +415,61 @@ def _read(texts: pa.Table, side: pa.Table) -> Words:
     return Words(ids.to_numpy(), rows, np.concatenate(copies) if copies else np.zeros(0, np.int64))
 
 
-def _before(keys: np.ndarray, doc: np.ndarray, x: np.ndarray, below_doc: np.ndarray, below_place: np.ndarray):
-    """The place of each occurrence's key in the last document before its own that holds it."""
-    order = np.argsort(keys, kind="stable")
-    key, own = keys[order], doc[order]
-    new = np.append(True, (key[1:] != key[:-1]) | (own[1:] != own[:-1])) if len(key) else np.zeros(0, bool)
+def _before(keys: np.ndarray, own: tuple[np.ndarray, ...], below: tuple[np.ndarray, ...]) -> list[np.ndarray]:
+    """Document, place and sign of each occurrence's key in the last document before its own that holds it. ``own`` has
+    these of the occurrences, ``below`` of the keys."""
+    order = _ordered(keys)
+    key, doc = keys[order], own[0][order]
+    new = np.append(True, (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])) if len(key) else np.zeros(0, bool)
     before = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0)) - 1
     here = (before >= 0) & (key[before] == key)
-    out_doc, out_place = np.empty(len(key), np.int64), np.empty(len(key), np.int64)
-    out_doc[order] = np.where(here, own[before], below_doc[key])
-    out_place[order] = np.where(here, x[order][before], below_place[key])
-    return out_doc, out_place
+    out = []
+    for inner, outer in zip(own, below):
+        column = outer[keys]
+        column[order[here]] = inner[order[before[here]]]
+        out.append(column)
+    return out
 
 
 def _chain_shard(words: Words, side: pa.Table, groups: int, bounds: np.ndarray) -> pa.Table:
     seeds, places, short = _all_seeds(words)
-    keys, firsts, _ = _ends(seeds, places)
-    anchor_doc, anchor_place = words.place(firsts)
+    keys, firsts, _, at = _ends(seeds, places)
+    anchors = *words.place(firsts), words.signs(firsts)
     # The last place below the shard, or else no other than the anchor.
-    below_doc, below_place = anchor_doc.copy(), anchor_place.copy()
+    below = tuple(column.copy() for column in anchors)
     numbers = np.zeros(len(keys), np.int32)
     answers = {row["part"]: row for row in side.to_pylist() if row["kind"] == _ANCHORS}
     for part, own in enumerate(_parts(keys, groups)):
         if len(own):
             answer = answers[part]
             lower = own[np.unpackbits(np.frombuffer(answer["mask"], np.uint8), count=len(own)).astype(bool)]
-            anchor_doc[lower] = np.frombuffer(answer["docs"], np.int64)
-            anchor_place[lower] = np.frombuffer(answer["places"], np.int32)
-            below_doc[lower] = np.frombuffer(answer["last_docs"], np.int64)
-            below_place[lower] = np.frombuffer(answer["last_places"], np.int32)
+            signed = lower[_short(keys[lower])]
+            for (doc, place, sign), name in ((anchors, ""), (below, "last_")):
+                doc[lower] = np.frombuffer(answer[f"{name}docs"], np.int64)
+                place[lower] = np.frombuffer(answer[f"{name}places"], np.int32)
+                sign[signed] = _signs_of(answer[f"{name}signs"])
             often = own[np.unpackbits(np.frombuffer(answer["often"], np.uint8), count=len(own)).astype(bool)]
             numbers[often] = np.frombuffer(answer["numbers"], np.int32)
-    at = np.searchsorted(keys, seeds)
     often = (seeds[:short], places[:short], numbers[at[:short]])
     doc, x = words.place(places)
-    ref, y = anchor_doc[at], anchor_place[at]
-    matches = [(np.arange(short), ref[:short], y[:short], 0)]
-    before_doc, before_place = _before(at[:short], doc[:short], x[:short], below_doc, below_place)
-    matches.append((np.arange(short), before_doc, before_place, 1))
+    own = doc[:short], x[:short], words.signs(places[:short])
+    after = words.offsets[words.text[places[:short]] + 1] - places[:short] - K
+    matches = []
+    for extra, partners in enumerate(([column[at[:short]] for column in anchors], _before(at[:short], own, below))):
+        which = np.flatnonzero(own[0] != partners[0])
+        ref, y, signs = (column[which] for column in partners)
+        fits = _fits(own[2][which], signs, np.minimum(own[1][which], y), after[which])
+        matches.append((which, ref, y, np.full(len(which), extra), *fits))
     # A long seed's place stands for those of all seeds within it.
+    ref, y, _ = (column[at] for column in anchors)
     long = short + np.flatnonzero(doc[short:] != ref[short:])
     begins = np.searchsorted(places[:short], places[long])
     counts = np.searchsorted(places[:short], places[long] + MIN_WORDS - K, side="right") - begins
     inner, whose = ranges(begins, counts), np.repeat(long, counts)
-    matches.append((inner, ref[whose], y[whose] + places[inner] - places[whose], 1))
-    which, ref, y = (np.concatenate([match[i] for match in matches]) for i in range(3))
-    extra = np.concatenate([np.full(len(match[0]), match[3]) for match in matches])
-    doc, x, places = doc[which], x[which], places[which]
-    found = np.flatnonzero(doc != ref)
-    order = found[np.lexsort((extra[found], y[found], x[found], ref[found], doc[found]))]
-    same = (doc[order][1:] == doc[order][:-1]) & (ref[order][1:] == ref[order][:-1])
-    same &= (x[order][1:] == x[order][:-1]) & (y[order][1:] == y[order][:-1])
-    order = order[np.append(True, ~same)] if len(order) else order
-    doc, ref, x, y, places, extra = doc[order], ref[order], x[order], y[order], places[order], extra[order]
-    runs = _runs(doc, ref, x, y, places, extra)
+    any_ = np.full(len(inner), _EXTEND, np.uint8)
+    matches.append((inner, ref[whose], y[whose] + places[inner] - places[whose], np.ones(len(inner), np.int64), any_, any_))
+    which, ref, y, extra, left, right = (np.concatenate(column) for column in zip(*matches))
+    runs = _runs(doc[which], ref, x[which], y, places[which], extra, left, right)
     return pa.concat_tables([_chain_table(words, bounds, *runs), _occurrences(words, *often, runs)])
 
 
@@ -402,7 +480,7 @@ def _occurrences(words: Words, seeds: np.ndarray, places: np.ndarray, numbers: n
     seeds, places, numbers = seeds[often], places[often], numbers[often]
     doc, x = words.place(places)
     low = places - x
-    high = words.offsets[np.searchsorted(words.offsets[1:], places, side="right") + 1]
+    high = words.offsets[words.text[places] + 1]
     around = np.zeros((len(often), 2 * AROUND), np.uint16)
     for column, step in enumerate([*range(-AROUND, 0), *range(K, K + AROUND)]):
         inside = np.flatnonzero((places + step >= low) & (places + step < high))
@@ -536,40 +614,60 @@ def _equal(mine: np.ndarray, other: np.ndarray) -> np.ndarray:
 def _rival_chains(table: pa.Table, bounds: np.ndarray) -> pa.Table:
     """Chains of the matches of some documents; their words are still to be fetched."""
     numbers = np.array([table.column(name).to_numpy() for name in ("doc_id", "ref_id", "x", "y")], np.int64)
-    numbers = np.unique(numbers, axis=1)
-    return _chain_table(None, bounds, *_runs(*numbers, numbers[2], np.ones(numbers.shape[1], np.int64))).select(
+    any_ = np.full(numbers.shape[1], _EXTEND, np.uint8)
+    return _chain_table(None, bounds, *_runs(*numbers, numbers[2], np.ones(numbers.shape[1], np.int64), any_, any_)).select(
         [field.split(" ")[0] for field in _LINKS.split(", ")]
     )
 
 
-def _runs(doc, ref, x, y, places, extra):
-    """Matches that follow each other on one diagonal as one run: its document, anchor document, first place in both, the
-    words from its first to its last seed, the place of its document's first word, its seeds and how many are extra."""
-    order = np.lexsort((x, y - x, ref, doc))
-    doc, ref, x, y, places, extra = (column[order] for column in (doc, ref, x, y, places, extra))
-    same = (doc[1:] == doc[:-1]) & (ref[1:] == ref[:-1]) & (y[1:] - x[1:] == y[:-1] - x[:-1]) & (x[1:] - x[:-1] <= WINDOW)
+def _runs(doc, ref, x, y, places, extra, left, right):
+    """Matches, each counted once, that follow each other on one diagonal as one run: its document, anchor document, first
+    place in both, the words from its first to its last seed, the place of its document's first word, its seeds and how
+    many are extra, and how many words at most are equal before the first seed and after the last."""
+    ranks, other_ranks = (np.unique(column, return_inverse=True)[1] for column in (doc, ref))
+    pair = ranks * (len(ref) + 1) + other_ranks
+    line = ((y - x + (1 << 31)).astype(np.uint64) << np.uint64(32)) | (x.astype(np.uint64) << np.uint64(1))
+    order = np.lexsort((line | extra.astype(np.uint64), pair))
+    pair, line = pair[order], line[order]
+    fresh = np.append(True, (pair[1:] != pair[:-1]) | (line[1:] != line[:-1]))[: len(order)]
+    order, pair, diagonal = order[fresh], pair[fresh], line[fresh] >> np.uint64(32)
+    doc, ref, x, y, places, extra, left, right = (
+        column[order] for column in (doc, ref, x, y, places, extra, left, right)
+    )
+    same = (pair[1:] == pair[:-1]) & (diagonal[1:] == diagonal[:-1]) & (x[1:] - x[:-1] <= WINDOW)
     first = np.flatnonzero(np.append(True, ~same)) if len(x) else np.zeros(0, np.int64)
     counts = np.diff(np.append(first, len(x)))
     extras = np.add.reduceat(extra, first) if len(first) else extra
-    lengths = x[first + counts - 1] - x[first]
+    last = first + counts - 1
     order = np.lexsort((y[first], x[first], ref[first], doc[first]))
-    columns = doc[first], ref[first], x[first], y[first], lengths, places[first] - x[first], counts, extras
-    return tuple(column[order] for column in columns)
+    columns = doc[first], ref[first], x[first], y[first], x[last] - x[first], places[first] - x[first], counts, extras
+    return tuple(column[order] for column in (*columns, left[first], right[last]))
 
 
-def _chain_table(words: Words | None, bounds: np.ndarray, doc, ref, x, y, lengths, base, seeds, extras) -> pa.Table:
-    """The chains of each document's runs with each anchor document; without ``words`` they may end beyond the text."""
+def _chain_table(words: Words | None, bounds: np.ndarray, doc, ref, x, y, lengths, base, seeds, extras, left, right) -> pa.Table:
+    """The chains of each document's runs with each anchor document that may be passages; without ``words`` they may end
+    beyond the text."""
     if not len(doc):
         return _table(_CHAINS, [])
     cuts = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (ref[1:] != ref[:-1])))
     ends = np.append(cuts[1:], len(doc))
     alone = cuts[ends - cuts == 1]
-    members, counts = alone.tolist(), [1] * len(alone)
+    # A passage of a single run has no other equal words than these.
+    enough = lengths + K + left + right >= MIN_IDENTITY * MIN_WORDS
+    members, counts = alone[enough[alone]].tolist(), [1] * int(enough[alone].sum())
+    possible = enough.tolist()
     for a, b in zip(cuts[ends - cuts > 1].tolist(), ends[ends - cuts > 1].tolist()):
         for chain in best_chains(x[a:b], y[a:b], lengths[a:b]):
-            members.extend(a + i for i in chain)
-            counts.append(len(chain))
+            if len(chain) > 1 or possible[a + chain[0]]:
+                members.extend(a + i for i in chain)
+                counts.append(len(chain))
+    if not members:
+        return _table(_CHAINS, [])
     members, counts = np.array(members, np.int64), np.array(counts, np.int64)
+    kept = _may_be_passages(members, counts, x, y, lengths, left, right)
+    members, counts = members[np.repeat(kept, counts)], counts[kept]
+    if not len(members):
+        return _table(_CHAINS, [])
     offsets = offsets_of(counts)
     head, tail = members[offsets[:-1]], members[offsets[1:] - 1]
     begin, end = np.maximum(0, x[head] - _EXTEND), x[tail] + lengths[tail] + K + _EXTEND
@@ -598,6 +696,21 @@ def _chain_table(words: Words | None, bounds: np.ndarray, doc, ref, x, y, length
     return _filled(columns, len(head))
 
 
+def _may_be_passages(members, counts, x, y, lengths, left, right) -> np.ndarray:
+    """Which chains can hold enough equal words: all of their runs, as many as fit between these, and those outside."""
+    offsets = offsets_of(counts)
+    first, last = members[offsets[:-1]], members[offsets[1:] - 1]
+    x_ends, y_ends = x + lengths + K, y + lengths + K
+    before = np.append(members[:1], members[:-1])
+    gaps = np.minimum(x[members] - x_ends[before], y[members] - y_ends[before])
+    gaps[offsets[:-1]] = 0
+    inner = np.add.reduceat(lengths[members] + K + gaps, offsets[:-1])
+    outer = left[first].astype(np.int64) + right[last]
+    core = np.maximum(x_ends[last] - x[first], y_ends[last] - y[first])
+    # Words outside that are equal are part of the passage's length as well.
+    return (inner + outer >= MIN_IDENTITY * MIN_WORDS) & (inner + outer >= MIN_IDENTITY * (core + outer) - 1e-9)
+
+
 PASSAGES = (
     "doc_id BIGINT, ref_id BIGINT, begin BIGINT, end BIGINT, ref_begin BIGINT, ref_end BIGINT, matched BIGINT,"
     " identity DOUBLE"
@@ -625,7 +738,7 @@ def shared_passages(documents: DataFrame, shard_bytes: int = SHARD_BYTES) -> Dat
     def copy_rows(batches):
         for batch in batches:
             ids = batch.column("doc_id").to_numpy()
-            rows = [(int(s), _COPIES, 0, None, i.tobytes(), None, None, None, None, None) for s, i in zip(shard_of(batch), ids)]
+            rows = [(int(s), _COPIES, 0, None, i.tobytes(), *[None] * 7) for s, i in zip(shard_of(batch), ids)]
             yield from _table(_SIDE, rows).to_batches()
 
     def ask(key, left, right):
@@ -633,10 +746,11 @@ def shared_passages(documents: DataFrame, shard_bytes: int = SHARD_BYTES) -> Dat
             return _table(_SENT, [])
         words = _read(left, right)
         seeds, at, _ = _all_seeds(words)
-        keys, firsts, lasts = _ends(seeds, at)
+        keys, firsts, lasts, which = _ends(seeds, at)
         docs, places = words.place(firsts)
         last_docs, last_places = words.place(lasts)
-        numbers = _documents(seeds, words.place(at)[0])
+        several = np.flatnonzero((lasts != firsts)[which])
+        numbers = _documents(which[several], words.place(at[several])[0], len(keys))
         out = []
         for part, own in enumerate(_parts(keys, groups)):
             if len(own):
@@ -644,6 +758,8 @@ def shared_passages(documents: DataFrame, shard_bytes: int = SHARD_BYTES) -> Dat
                 blobs = [keys[own].tobytes(), docs[own].tobytes(), places[own].astype(np.int32).tobytes()]
                 blobs += [np.packbits(lasts[own] != firsts[own]).tobytes(), last_docs[later].tobytes()]
                 blobs += [last_places[later].astype(np.int32).tobytes(), numbers[later].astype(np.int32).tobytes()]
+                for ends, some in ((firsts, own), (lasts, later)):
+                    blobs.append(_sign_bytes(words.signs(ends[some[_short(keys[some])]])))
                 out.append((part, key[0].as_py(), *blobs))
         return _table(_SENT, out)
 
@@ -715,10 +831,9 @@ def shared_passages(documents: DataFrame, shard_bytes: int = SHARD_BYTES) -> Dat
             yield batch.take(pa.array(taken, pa.int64())).drop_columns(["extra"])
 
     texts = packed(known, shard_of)
-    hashed = known.select("doc_id", "text", F.sha2("text", 256).alias("hash")).filter("length(text) > 0")
+    hashed = materialise(known.filter("length(text) > 0").mapInArrow(_hashed, _HASHED), "hashes")
     heads = hashed.groupBy("hash").agg(F.min("doc_id").alias("ref_id"))
-    counted = hashed.select("doc_id", "hash", _word_count().alias("size"))
-    copied = materialise(counted.join(heads, "hash").filter("doc_id > ref_id").select("doc_id", "ref_id", "size"), "copies")
+    copied = materialise(hashed.join(heads, "hash").filter("doc_id > ref_id").select("doc_id", "ref_id", "size"), "copies")
     copies = copied.select("doc_id").mapInArrow(copy_rows, _SIDE)
 
     def grouped(left, right, run, schema, key="shard"):
@@ -762,7 +877,15 @@ def shared_passages(documents: DataFrame, shard_bytes: int = SHARD_BYTES) -> Dat
     return aligned.unionAll(whole)
 
 
-def _word_count() -> Column:
-    """Runs of characters other than ASCII white space."""
-    blank = F.translate("text", "\t\n\x0b\x0c\r", "     ")
-    return F.size(F.filter(F.split(blank, " "), lambda word: word != "")).cast("long")
+def _hashed(batches):
+    """Hash and number of words of whole texts."""
+    for piece in pieces(batches):
+        texts = texts_of(piece.column("text"))
+        yield pa.RecordBatch.from_arrays(
+            [
+                piece.column("doc_id"),
+                pa.array([hashlib.sha256(text).digest() for text in texts], pa.binary()),
+                pa.array(word_counts(texts)),
+            ],
+            names=["doc_id", "hash", "size"],
+        )
